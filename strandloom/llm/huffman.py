@@ -35,6 +35,8 @@ LIMIT = 20
 STEP = 128
 BLOCK_IDS = 1 << 17
 SHARD_IDS = 1 << 22
+#: How ids are held between tokenizing and coding: vocabularies of up to 65,536 ids.
+KIND = "<u2"
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -126,30 +128,32 @@ def unpacked(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.nd
 
 
 def tokens(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
-    """id_col, row, n, ids (little-endian unsigned 32-bit, end id last) per document."""
+    """id_col, row, n, ids (end id last) per document, as numbers of KIND; ids above them are an error."""
     workers(df.sparkSession)
     kind = df.schema[id_col].dataType
     schema = pa.schema([("id", to_arrow_type(kind)), ("row", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, "spaced")
+        encode = encoder(tokenizer, "spaced", KIND)
+        last = np.array(end, KIND).tobytes()
         for batch in batches:
-            ids = [np.append(encode(x.as_py()), np.uint32(end)).astype("<u4") for x in batch.column(2)]
-            columns = [batch.column(0).cast(schema[0].type), batch.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                ids = [x + last for x in encode(part.column(2).to_pylist())]
+                columns = [part.column(0).cast(schema[0].type), part.column(1), pa.array([len(x) // len(last) for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     texts = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text_of(text_col).alias("text"))
     return texts.mapInArrow(made, f"id {kind.simpleString()}, row long, n long, ids binary").withColumnRenamed("id", id_col)
 
 
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for x in batch.column(0):
-            seen = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-            if len(seen) > len(total):
-                total = np.pad(total, (0, len(seen) - len(total)))
-            total[: len(seen)] += seen
+        column = batch.column(0)
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]  # one buffer holds all of a batch
+        raw = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if len(column) else np.zeros(0, np.uint8)
+        total += np.bincount(raw.view(KIND), minlength=1 << 16)
     found = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], ["id", "n"])
 
@@ -187,7 +191,7 @@ def write(made: DataFrame, path: str, id_col: str = "doc_id", limit: int = LIMIT
         for batch in batches:
             for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 docs.append(doc)
-                parts.append(np.frombuffer(ids.as_buffer(), "<u4"))
+                parts.append(np.frombuffer(ids.as_buffer(), KIND))
                 held += len(parts[-1])
                 if held >= BLOCK_IDS:
                     yield closed()

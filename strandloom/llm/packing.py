@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.runtime import Scratch, text_of, workers
@@ -30,6 +30,8 @@ from strandloom.llm.tokens import encoder
 CAPACITY = 4096
 END = 1
 SHARD = 1 << 15
+#: Texts tokenized together.
+STEP = 256
 
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -42,14 +44,17 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, "words")
+        last = np.uint32(end).astype("<u4").tobytes()
         for batch in batches:
             out, held = [], 0
-            for row, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                ids = np.append(encode(text.as_py()), np.uint32(end)).astype("<u4")
-                for k in range(0, len(ids), capacity):
-                    part = ids[k : k + capacity]
-                    out.append((doc, row, k // capacity, k, len(part), part.tobytes()))
-                held += ids.nbytes
+            numbers, docs, texts = (batch.column(k).to_pylist() for k in range(3))
+            for s in range(0, len(texts), STEP):
+                for row, doc, ids in zip(numbers[s : s + STEP], docs[s : s + STEP], encode(texts[s : s + STEP]), strict=True):
+                    ids += last
+                    for k in range(0, len(ids) // 4, capacity):
+                        part = ids[4 * k : 4 * (k + capacity)]
+                        out.append((doc, row, k // capacity, k, len(part) // 4, part))
+                    held += len(ids)
                 if held >= 16 << 20:
                     yield rows(out)
                     out, held = [], 0
@@ -133,9 +138,24 @@ def placed(cut: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> Data
     return cut.select("row", "piece", "length", key).groupBy("shard").applyInPandas(pack, "row long, piece int, sequence_id long, offset long")
 
 
-def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, shard: int = SHARD) -> DataFrame:
-    """One row per piece: id_col, piece, start, length, ids, sequence_id, offset."""
+def pack(
+    df: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = CAPACITY,
+    end: int = END,
+    shard: int = SHARD,
+    derived: dict[str, Column] | None = None,
+) -> DataFrame:
+    """One row per piece: id_col, piece, start, length, ids, sequence_id, offset.
+
+    With ``derived``, columns computed from a piece's ids take the place of the ids,
+    so that the ids themselves needn't be shuffled.
+    """
     scratch = Scratch(df.sparkSession, "packing")
     cut = scratch.save(pieces(df, tokenizer, id_col, text_col, capacity, end), "pieces")
     where = scratch.save(placed(cut, capacity, shard), "placed")
+    if derived:
+        cut = cut.withColumns(derived).drop("ids")
     return cut.join(where, ["row", "piece"]).drop("row")

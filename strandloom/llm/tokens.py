@@ -1,9 +1,10 @@
 """Token ids of whole texts by the tokenizers library.
 
-A text is cut where the tokenizer can't join across, its pieces are looked up in a
-worker's cache, and only unknown pieces go through the library.  The cache is
-emptied when it reaches ``CACHE`` pieces; longer pieces than ``LONG`` bytes aren't
-kept.  Special tokens' strings in a text are ordinary text.
+Texts are cut where the tokenizer can't join across, pieces are looked up in a
+worker's cache, and only unknown pieces go through the library, many at once, with
+a separator between them.  The cache is emptied when it reaches ``CACHE`` pieces;
+pieces longer than ``LONG`` characters are encoded by themselves and aren't kept.
+Special tokens' strings in a text are ordinary text.
 
 - ``words``: for tokenizers that drop white space (word_bpe): cut at ASCII white space.
 - ``spaced``: for byte-level tokenizers that take one space before a word: cut
@@ -13,50 +14,133 @@ kept.  Special tokens' strings in a text are ordinary text.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 
-CACHE = 400_000
+CACHE = 800_000
 LONG = 64
+#: Pieces encoded in one call of the library.
+JOINED = 2000
+#: Characters of texts whose pieces are looked up together.
+GROUP = 1 << 20
 
 #: The White_Space characters of Unicode.
 SPACE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 SPACED = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
-_MADE: dict[tuple[str, str], Callable[[str], np.ndarray]] = {}
 
 
-def _cut_words(text: str) -> list[str]:
-    return [x.decode() for x in text.encode().split()]
+def _words(text: str) -> list[bytes]:
+    raw = text.encode()
+    if b"\xcc" not in raw and b"\xcd" not in raw:  # no marks that compose with A-Z, which the tokenizer lower-cases after composing
+        raw = raw.lower()
+    return raw.split()
 
 
-def encoder(path: str, cut: str) -> Callable[[str], np.ndarray]:
-    """A function from text to its ids (uint32); one per worker, path and way to cut."""
-    if (path, cut) in _MADE:
-        return _MADE[path, cut]
+def _spaced(text: str) -> list[str]:
+    return SPACED.findall(text)
+
+
+#: By way to cut: pieces of a text, a separator that leaves its neighbours' ids alone, and how plain pieces (letters only) are joined.
+CUTS = {"words": (_words, " \0 ", " "), "spaced": (_spaced, "\n", "")}
+
+_MADE: dict[tuple, Callable[[list[str]], list[bytes]]] = {}
+
+
+def encoder(path: str, cut: str, kind: str = "<u4") -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids, as bytes of numbers of ``kind``; one per worker."""
+    if (path, cut, kind) in _MADE:
+        return _MADE[path, cut, kind]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    pieces_of = {"words": _cut_words, "spaced": SPACED.findall}[cut]
-    cache: dict[str, list[int]] = {}
-
-    def ids(text: str) -> np.ndarray:
-        pieces = pieces_of(text)
-        try:
-            return np.fromiter(chain.from_iterable(map(cache.__getitem__, pieces)), np.uint32)
-        except KeyError:
-            pass
-        if len(cache) >= CACHE:
+    pieces_of, separator, glue = CUTS[cut]
+    (mark,) = tokenizer.encode(separator, add_special_tokens=False).ids
+    if tokenizer.get_vocab_size() > 1 << 8 * np.dtype(kind).itemsize:
+        raise ValueError(f"ids of {path} don't fit {kind}")
+    edge = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word, or that begin with a space
+    edge[[i for token, i in tokenizer.get_vocab().items() if (token.endswith("</w>") if cut == "words" else token.startswith("\u0120"))]] = True
+    width = np.dtype(kind).itemsize
+    cache: dict = {}
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    stops = {x: ids_of(x).astype(kind).tobytes() for x in ".,"}
+
+    def learn(pieces: list) -> dict:
+        """Ids of distinct pieces: plain ones side by side, others with separators, odd ones by themselves.
+
+        A plain piece before one full stop or comma is a piece of its own there.
+        """
+        names = [x.decode() for x in pieces] if cut == "words" else pieces
+        made, marked, odd, plain, ended = {}, [], [], {}, []
+        for piece, name in zip(pieces, names, strict=True):
+            if len(name) > LONG:
+                odd.append((piece, name))
+                continue
+            stem = name[:-1] if name[-1] in ".," else name
+            if not (stem if cut == "words" else stem[1:] if stem[:1] == " " else "").isalpha():
+                (odd if name.isspace() or separator.strip(" ") in name else marked).append((piece, name))
+            elif stem is name:
+                plain[piece] = name
+            else:
+                ended.append((piece, piece[:-1], name[-1]))
+                if piece[:-1] not in cache:
+                    plain[piece[:-1]] = stem
+        plain = list(plain.items())
+        for some, join in ((plain, glue), (marked, separator)):
+            for k in range(0, len(some), JOINED):
+                part = some[k : k + JOINED]
+                ids = ids_of(join.join(name for _, name in part))
+                if join == separator:
+                    ends = np.append(np.flatnonzero(ids == mark), len(ids))
+                    starts = np.append(0, ends[:-1] + 1)
+                elif cut == "words":
+                    ends = np.flatnonzero(edge[ids]) + 1
+                    starts = np.append(0, ends[:-1])
+                else:
+                    starts = np.flatnonzero(edge[ids])
+                    ends = np.append(starts[1:], len(ids))
+                if len(ends) != len(part):  # ids that look like an edge within a piece
+                    odd += part
+                    continue
+                raw = ids.astype(kind).tobytes()
+                made.update((piece, raw[s:e]) for (piece, _), s, e in zip(part, (starts * width).tolist(), (ends * width).tolist(), strict=True))
+        made.update((piece, ids_of(name).astype(kind).tobytes()) for piece, name in odd)
+        made.update((piece, (made[stem] if stem in made else cache[stem]) + stops[stop]) for piece, stem, stop in ended)
+        return made
+
+    def group(texts: list[str]) -> list[bytes]:
+        cut_texts = [pieces_of(x) for x in texts]
+        distinct = set(chain.from_iterable(cut_texts))
+        new = distinct.difference(cache)
+        if len(cache) + len(new) > CACHE:
             cache.clear()
-        new = [x for x in set(pieces) if x not in cache]
-        made = dict(zip(new, (x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        out = np.fromiter(chain.from_iterable(made[x] if x in made else cache[x] for x in pieces), np.uint32)
-        cache.update(x for x in made.items() if len(x[0]) <= LONG)
-        return out
+            new = distinct
+        made = learn(list(new))
+        cache.update((x, ids) for x, ids in made.items() if len(x) <= LONG)
+        if any(len(x) > LONG for x in made):
+            return [b"".join([cache[x] if x in cache else made[x] for x in pieces]) for pieces in cut_texts]
+        return [b"".join(map(cache.__getitem__, pieces)) for pieces in cut_texts]
+
+    def ids(texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        some: list[str] = []
+        held = 0
+        for text in texts:
+            some.append(text)
+            held += len(text)
+            if held >= GROUP:
+                out += group(some)
+                some, held = [], 0
+        return out + group(some)
 
-    _MADE[path, cut] = ids
+    _MADE[path, cut, kind] = ids
     return ids
