@@ -42,8 +42,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), derived={"ids_crc32": F.crc32("ids")})
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES = [
