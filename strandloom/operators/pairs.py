@@ -41,18 +41,13 @@ def dominant(pairs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     Totals and leaders are aggregates, so a pb with very many cbs isn't sorted in one task.
     """
-    lead = F.max_by(F.struct("cb", "molecule_count", "reads_count"), F.struct("reads_count", F.struct(_descending("cb")))).alias("lead")
+    lead = F.min_by(F.struct("cb", "molecule_count", "reads_count"), F.struct((-F.col("reads_count")).alias("r"), "cb")).alias("lead")
     per_pb = pairs.groupBy("sample", "pb").agg(lead, F.sum("molecule_count").alias("total_molecule_count"), F.sum("reads_count").alias("total_reads_count"))
     share = F.col("lead.reads_count") / F.col("total_reads_count")
     kept = per_pb.where(share > threshold)
     return kept.select("sample", "pb", "lead.cb", "lead.molecule_count", "lead.reads_count", "total_molecule_count", "total_reads_count", F.round(share, 6).alias("dominant_ratio"))
 
 
-def _descending(column: str):
-    """Orders texts the other way round: of equals by reads, the smallest text is the largest."""
-    return F.transform(F.split(column, ""), lambda c: -F.ascii(c)).alias("d")
-
-
 def pbs_per_cb(kept: DataFrame) -> DataFrame:
     return kept.groupBy("sample", "cb").agg(F.count_distinct("pb").alias("pb_count"))
 
