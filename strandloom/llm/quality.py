@@ -38,7 +38,7 @@ RANK = 8
 BINS = 16
 EPOCHS = 6
 CUT = 0.7
-CACHE = 500_000
+CACHE = 100_000
 
 _UPPER, _LOWER, _DIGIT, _SPACE = slice(65, 91), slice(97, 123), slice(48, 58), [9, 10, 11, 12, 13, 32]
 

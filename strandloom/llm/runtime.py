@@ -63,12 +63,23 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Lets workers give freed memory back at once: they live on from stage to stage.
+MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+}
+
+
 def workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and hold batches of 8 MB."""
     top = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if top not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (top, env.get("PYTHONPATH", "")) if x)
+    env.update(MEMORY)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:

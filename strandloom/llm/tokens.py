@@ -21,7 +21,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE = 800_000
+CACHE = 500_000
 LONG = 64
 #: Pieces encoded in one call of the library.
 JOINED = 2000

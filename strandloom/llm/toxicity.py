@@ -44,7 +44,7 @@ FILTERS = 6
 WIDTHS = (1, 2, 3)
 EPOCHS = 4
 CUT = 0.5
-CACHE = 500_000
+CACHE = 100_000
 #: Words whose filters are computed at once; bounds the memory of long texts.
 BLOCK = 1 << 14
 
