@@ -135,7 +135,7 @@ marked AS (
     SELECT *, row_number() OVER k AS place, count(*) OVER (PARTITION BY sample, barcode2_name, corrected_umi) AS barcodes,
            sum(reads_count) OVER (PARTITION BY sample, barcode2_name, corrected_umi) AS total
     FROM molecules WINDOW k AS (PARTITION BY sample, barcode2_name, corrected_umi ORDER BY reads_count DESC, barcode1)),
-pi AS (SELECT *, place = 1 AND (barcodes = 1 OR CAST(reads_count AS DOUBLE) / total > 0.3) AS kept FROM marked)"""
+pi AS (SELECT *, place = 1 AND (barcodes = 1 OR CAST(reads_count AS DOUBLE) / total > 0.02) AS kept FROM marked)"""
 
 _INNER = ", ".join(f"CAST({r} AS DOUBLE)" for r in PLAN.ratios)
 _THIN = f""",
@@ -310,7 +310,7 @@ ORACLES = {
                    count(*) FILTER (kept AND barcodes > 1) AS dominant_multi_pi_fb_umis, count(*) FILTER (kept) AS retained_molecules FROM pi GROUP BY sample)
         SELECT *, total_fb_umis - retained_molecules AS removed_fb_umis, round(coalesce(CAST(multi_pi_fb_umis AS DOUBLE) / nullif(total_fb_umis, 0), 0), 6) AS multi_pi_ratio,
                round(coalesce(CAST(dominant_multi_pi_fb_umis AS DOUBLE) / nullif(multi_pi_fb_umis, 0), 0), 6) AS dominant_ratio,
-               round(coalesce(CAST(total_fb_umis - retained_molecules AS DOUBLE) / nullif(total_fb_umis, 0), 0), 6) AS mp_ratio, CAST(0.3 AS DOUBLE) AS dominance_threshold FROM q""",
+               round(coalesce(CAST(total_fb_umis - retained_molecules AS DOUBLE) / nullif(total_fb_umis, 0), 0), 6) AS mp_ratio, CAST(0.02 AS DOUBLE) AS dominance_threshold FROM q""",
     "downsample_counts": f"WITH RECURSIVE {_ALL}{_THIN} SELECT * FROM thinned",
     "downsample_metrics": f"WITH RECURSIVE {_ALL}{_THIN} SELECT * FROM metrics",
     "optimal_point": f"WITH RECURSIVE {_ALL}{_THIN} SELECT * FROM best",

@@ -290,12 +290,12 @@ def cb_pb_distribution(spark, d):
 
 @query
 def pi_seq_filter(spark, d):
-    return pairs.pi_filtered(pairs.pi_marked(_molecules(spark, d), 0.3))
+    return pairs.pi_filtered(pairs.pi_marked(_molecules(spark, d), 0.02))
 
 
 @query
 def pi_seq_qc(spark, d):
-    return pairs.pi_qc(pairs.pi_marked(_molecules(spark, d), 0.3), 0.3)
+    return pairs.pi_qc(pairs.pi_marked(_molecules(spark, d), 0.02), 0.02)
 
 
 def _thinned(spark: SparkSession, d: str) -> DataFrame:
