@@ -21,7 +21,7 @@ from itertools import chain
 
 import numpy as np
 
-CACHE = 500_000
+CACHE = 650_000
 LONG = 64
 #: Pieces encoded in one call of the library.
 JOINED = 2000
@@ -125,9 +125,10 @@ def encoder(path: str, cut: str, kind: str = "<u4") -> Callable[[list[str]], lis
             cache.clear()
             new = distinct
         made = learn(list(new))
-        cache.update((x, ids) for x, ids in made.items() if len(x) <= LONG)
-        if any(len(x) > LONG for x in made):
-            return [b"".join([cache[x] if x in cache else made[x] for x in pieces]) for pieces in cut_texts]
+        if extra := {x: made.pop(x) for x in [x for x in made if len(x) > LONG]}:
+            cache.update(made)
+            return [b"".join([cache[x] if x in cache else extra[x] for x in pieces]) for pieces in cut_texts]
+        cache.update(made)
         return [b"".join(map(cache.__getitem__, pieces)) for pieces in cut_texts]
 
     def ids(texts: list[str]) -> list[bytes]:
