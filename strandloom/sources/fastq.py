@@ -55,9 +55,9 @@ def pairs(spark: SparkSession, sample: str, r1: str, r2: str, most: int | None =
     return both.select(F.lit(sample).alias("sample"), F.when(same, F.col("read_id")).otherwise(F.raise_error(told)).alias("read_id"), "r1_seq", "r2_seq")
 
 
-def samples(spark: SparkSession, files: dict[str, tuple[str, str]]) -> DataFrame:
-    """All samples' pairs in one table."""
-    return reduce(DataFrame.unionByName, [pairs(spark, name, *both) for name, both in files.items()])
+def samples(spark: SparkSession, files: dict[str, tuple[str, str]], most: int | None = None) -> DataFrame:
+    """All samples' pairs in one table; with ``most``, the leading ones of each."""
+    return reduce(DataFrame.unionByName, [pairs(spark, name, *both, most=most) for name, both in files.items()])
 
 
 def whitelist(spark: SparkSession, path: str) -> DataFrame:
@@ -70,3 +70,28 @@ def whitelist(spark: SparkSession, path: str) -> DataFrame:
     if not found.head(1):
         raise ConfigError(f"{path} is empty")
     return found
+
+
+def annotation(spark: SparkSession, path: str, columns: tuple[str, str, str], allow_duplicate_names: bool = False) -> DataFrame:
+    """sequence, name of features from a tab-separated table.
+
+    A first line that has all of ``columns`` (id, sequence, name) is a header.  Without
+    one, fields are id, sequence and name, or id and sequence, which is its own name.
+    """
+    lines = spark.read.text(path).select(F.rtrim("value").alias("v")).where("v <> ''")
+    head = (lines.head() or [""])[0]
+    first = [x.strip() for x in head.split("\t")]
+    titled = set(columns) <= set(first)
+    if not titled and len(first) < 2:
+        raise ConfigError(f"{path} is empty, or its lines have no sequence")
+    at, named = (first.index(columns[1]), first.index(columns[2])) if titled else (1, 2)
+    cells = F.split("v", "\t")
+    sequence = F.upper(F.trim(F.get(cells, F.lit(at))))
+    name = F.trim(F.get(cells, F.lit(named)))
+    name = F.coalesce(name, F.lit("") if titled else sequence)
+    rows = lines.where(F.col("v") != head) if titled else lines
+    found = saved(rows.select(sequence.alias("sequence"), name.alias("name")))
+    for column in ("sequence",) if allow_duplicate_names else ("sequence", "name"):
+        if again := found.groupBy(column).count().where("count > 1").head(1):
+            raise ConfigError(f"{path} repeats {again[0][0]}")
+    return found
