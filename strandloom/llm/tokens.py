@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
-from itertools import chain
 
 import numpy as np
 
@@ -112,24 +111,31 @@ def encoder(path: str, cut: str, kind: str = "<u4") -> Callable[[list[str]], lis
                     odd += part
                     continue
                 raw = ids.astype(kind).tobytes()
-                made.update((piece, raw[s:e]) for (piece, _), s, e in zip(part, (starts * width).tolist(), (ends * width).tolist(), strict=True))
+                spans = map(slice, (starts * width).tolist(), (ends * width).tolist())
+                made.update(zip([piece for piece, _ in part], map(raw.__getitem__, spans), strict=True))
         made.update((piece, ids_of(name).astype(kind).tobytes()) for piece, name in odd)
         made.update((piece, (made[stem] if stem in made else cache[stem]) + stops[stop]) for piece, stem, stop in ended)
         return made
 
     def group(texts: list[str]) -> list[bytes]:
+        """One look-up of each piece; unknown ones leave gaps, which are filled when they are learned."""
         cut_texts = [pieces_of(x) for x in texts]
-        distinct = set(chain.from_iterable(cut_texts))
-        new = distinct.difference(cache)
-        if len(cache) + len(new) > CACHE:
+        found = [list(map(cache.get, pieces)) for pieces in cut_texts]
+        gaps = []
+        for pieces, ids in zip(cut_texts, found, strict=True):
+            k, n = -1, ids.count(None)
+            for _ in range(n):
+                k = ids.index(None, k + 1)
+                gaps.append((ids, k, pieces[k]))
+        made = learn(list({piece for _, _, piece in gaps}))
+        for ids, k, piece in gaps:
+            ids[k] = made[piece]
+        if len(cache) + len(made) > CACHE:
             cache.clear()
-            new = distinct
-        made = learn(list(new))
-        if extra := {x: made.pop(x) for x in [x for x in made if len(x) > LONG]}:
-            cache.update(made)
-            return [b"".join([cache[x] if x in cache else extra[x] for x in pieces]) for pieces in cut_texts]
-        cache.update(made)
-        return [b"".join(map(cache.__getitem__, pieces)) for pieces in cut_texts]
+        cache.update(made if len(made) <= CACHE else ())
+        for piece in [x for x in made if len(x) > LONG]:
+            cache.pop(piece, None)
+        return [b"".join(ids) for ids in found]
 
     def ids(texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
