@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHE = 650_000
+CACHE = 500_000
 LONG = 64
 #: Pieces encoded in one call of the library.
 JOINED = 2000
