@@ -10,8 +10,9 @@ otherwise; without either it is allowed.  A rule on the page's own URL always ho
 
 Edges come from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` in the
 html, and from a table of redirects if one is given.  A target is resolved if it is
-absolute, starts with ``//`` or starts with ``/``; others are ignored.  Fragments
-don't tell URLs apart.
+absolute, starts with ``//`` or starts with ``/``; others are ignored.  A refresh's
+target goes on to the end of its attribute or its own quotes, so ``;`` may be in it,
+and references as ``&amp;`` are unescaped.  Fragments don't tell URLs apart.
 
 Defined cases: a URL that is null or has no ``://`` has empty host and path, fits
 no rule, has no aliases and is allowed; null html has no links; repeated rows each
@@ -20,18 +21,27 @@ get their verdict; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
+from html import unescape
+from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.graph import components
-from strandloom.llm.runtime import Scratch
+from strandloom.llm.runtime import Scratch, workers
 
 LINK = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-META = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-REFRESH = r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)"""
+#: As HTML reads it: a name, and a value in quotes or up to a space.  Possessive, so that long tags take no stack.
+ATTRIBUTE = r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?=>)|[^\s>"'][^\s>]*+))?+"""
+META = r"(?i)<meta(?=[\s/])(?:[\s/]++|" + ATTRIBUTE + ")*+>"
+#: In the content of a refresh: what follows the seconds or ``url=``.
+REFRESH = re.compile(r"\s*(?:[\d.]+[\s;,]+(?:url\s*=\s*)?|[\s;,]*url\s*=\s*)(.*)", re.A | re.I | re.S)
+_ATTRIBUTE, _REFERENCE = re.compile(ATTRIBUTE, re.A), re.compile(r"&#?\w+;", re.A)
+
 
 
 def host_of(url: Column) -> Column:
@@ -60,14 +70,45 @@ def node_of(url: Column) -> Column:
     return F.when(url.contains("://"), F.regexp_replace(url, r"(?s)#.*$", ""))
 
 
+def unescaped(text: str) -> str:
+    """References that end in ``;``, named or numeric, as their characters; unknown ones stay."""
+    return _REFERENCE.sub(lambda m: unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0], text)
+
+
+def attributes(tag: str) -> dict[str, str]:
+    """Names, lower-cased, to whole values, unescaped; the first of a name counts."""
+    found = {}
+    for name, value in _ATTRIBUTE.findall(tag):
+        found.setdefault(name.lower(), unescaped(value[1:-1] if value[:1] in ('"', "'") else value))
+    return found
+
+
+def target_of(tag: str) -> str:
+    """Where a refresh leads: to the closing quote if the target has quotes of its own, else all that is left; empty without one."""
+    has = attributes(tag)
+    found = REFRESH.match(has.get("content", "")) if has.get("http-equiv", "").strip().lower() == "refresh" else None
+    to = found[1] if found else ""
+    return to[1:].partition(to[0])[0] if to[:1] in ('"', "'") else to
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between the node of a page's url and those that its html names."""
+    workers(pages.sparkSession)
     html, base = F.col("html"), F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract("url", r"(?s)^(.*?:)//", 1)
-    targets = F.array(F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1), F.regexp_extract(F.regexp_extract(html, META, 0), REFRESH, 1))
     named = pages.where(html.rlike("(?i)canonical|http-equiv") & F.col("url").contains("://"))
-    named = named.select("url", base.alias("base"), scheme.alias("scheme"), F.explode(targets).alias("to")).where("to <> ''")
-    to = F.regexp_replace("to", "&amp;", "&")
+    named = named.select("url", F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1).alias("link"), F.regexp_extract_all(html, F.lit(META), F.lit(0)).alias("metas"))
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for url, link, metas in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                refreshes = [x for x in map(target_of, metas) if x]
+                rows += [(url, re.sub(r"[\t\n\r]", "", x.strip("".join(map(chr, range(33)))))) for x in (unescaped(link), *refreshes[:1])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(2)], ["url", "to"])
+
+    named = named.mapInArrow(read, "url string, to string").select("url", base.alias("base"), scheme.alias("scheme"), "to").where("to <> ''")
+    to = F.col("to")
     to = (
         F.when(to.startswith("//"), F.concat("scheme", to))
         .when(to.startswith("/"), F.concat("base", to))

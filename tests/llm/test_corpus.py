@@ -221,6 +221,23 @@ def test_url_rules(spark):
     assert (first.host, first.path) == ("a.example.net", "/en/x")
 
 
+def test_refresh_targets(spark):
+    refresh = '<meta http-equiv="refresh" content={}>'
+    cases = {
+        "http://q.io/t?p=1&q=2": '"0; url=http://q.io/t?p=1&amp;q=2"', "http://q.io/t?p=1&q=3": "'5;URL=/t?p=1&#38;q=&#x33;'",
+        "http://q.io/s;jsessionid=7?a;b": '"0;url=/s;jsessionid=7?a;b"', "http://q.io/u;v": "0;url=/u;v", "http://q.io/w;x>y": "\"0; url='/w;x>y' \"",
+        "http://q.io/no?a=1&copy=2&zz;\U0001f600é": '"3 , http://q.io/no?a=1&copy=2&zz;&#x1F600;&eacute;"', "http://q.io/long" + "k" * 300_000: '"0; url=/long' + "k" * 300_000 + '"',
+    }
+    pages = [(n, f"http://from.io/{n}" if "//q.io" in v else f"http://q.io/{n}", refresh.format(v)) for n, v in enumerate(cases.values())]
+    pages += [(99, "http://q.io/none", refresh.format('"5"')), (98, "http://q.io/bad", refresh.format('"0; url=&#xD800;&#0;&#99999999;"'))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.a: r.b for r in url_filter.link_edges(df).where("b is not null and a <> 'http://q.io/bad'").collect()} == {p[1]: u for p, u in zip(pages, cases)}
+    ends = [(k, u, "<link rel=canonical href=http://x.net/>") for k, u in enumerate(cases, 100)]
+    both = df.union(spark.createDataFrame(ends, df.schema))
+    got = {r.page_id: r.verdict for r in url_filter.judge(both, [("block", "net", "/")]).collect()}
+    assert got == {p[0]: "allow" if p[0] in (98, 99) else "block" for p in pages + ends}
+
+
 def test_search(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16))
