@@ -238,6 +238,29 @@ def test_refresh_targets(spark):
     assert got == {p[0]: "allow" if p[0] in (98, 99) else "block" for p in pages + ends}
 
 
+def test_relative_links(spark):
+    page, link, refresh = "http://a/b/c/d;p?q", '<link rel="{}" href="{}">', '<meta content="0;url={}" http-equiv=Refresh>'
+    want = {
+        "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y#s": "http://a/b/c/g?y",
+        ";x": "http://a/b/c/;x", ".": "http://a/b/c/", "..": "http://a/b/", "../..": "http://a/", "../../../g": "http://a/g", "/./g": "http://a/g", "..g": "http://a/b/c/..g",
+        "g/../h?x=../y": "http://a/b/c/h?x=../y", "go?to=http://z/": "http://a/b/c/go?to=http://z/", "HTTP://X.Net/A/./B": "http://x.net/A/B", "mailto:x": None, "#s": None, "": None,
+    }
+    html = "".join(link.format("nofollow Canonical", k) if n % 2 else refresh.format(k) for n, k in enumerate(want))
+    based = '<BASE href="../e/"><link data-href=no rel=canonical href=g><link rel=stylesheet href=css>'
+    rows = [(1, page, html), (2, "http://h", refresh.format("g")), (3, "http://h/x/y", based)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {tuple(r) for r in url_filter.link_edges(df).where("b is not null").collect()}
+    assert got == {(page, u) for u in want.values() if u} | {("http://h", "http://h/g"), ("http://h/x/y", "http://h/e/g")}
+    rows = [
+        (1, "http://Q.io/f/a", link.format("canonical", "http://other.io/") + link.format("canonical", "b")), (2, "http://q.io/f/b", refresh.format("?id=1")), (3, "http://q.IO/f/b?id=1", refresh.format("5") + refresh.format("../c")),
+        (4, "http://q.io/f/../c", link.format("canonical", "http://X.net/")), (5, "http://q.io/d", None),
+    ]
+    pages = spark.createDataFrame(rows, df.schema)
+    redirects = spark.createDataFrame([("http://q.io/d", "f/a")], "from_url string, to_url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, [("block", "net", "/")], redirects=redirects).collect()}
+    assert got == dict.fromkeys(range(1, 6), "block")
+
+
 def test_search(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16))
