@@ -16,6 +16,11 @@ def remainder(id_col: str, divisor: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor
 
 
+def known(labels: DataFrame, label: str, usable: Column, id_col: str = "doc_id") -> DataFrame:
+    """id_col and y of each usable id with a label, of repeated ones the largest."""
+    return labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & usable).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
+
+
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: dict[int, int], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -24,10 +29,10 @@ def sample(
     ``usable`` says which ids may be learned from.  Repeated labels of an id count
     as the largest, rows with a null label not at all.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & usable).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
+    all_known = known(labels, label, usable, id_col)
     drawn = None
     for y, most in rows.items():
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
+        part = all_known.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
         drawn = part if drawn is None else drawn.union(part)
     return docs.select(F.col(id_col), text_of(text_col).alias("text")).where(F.octet_length("text") <= LONGEST).join(F.broadcast(drawn), id_col)
 

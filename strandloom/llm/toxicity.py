@@ -9,15 +9,19 @@ as the damped log odds of its bucket among the fitted rows; everything is then
 trained in numpy by back-propagation.  For scoring, each table is multiplied with
 the filters once, so a word costs three look-ups and a few additions.
 
-At most ``ROWS`` labelled rows of each class are used, drawn by a hash; a fifth of
-them calibrates the scale of the scores and a threshold for each language.  Labels,
-language, source and id are no inputs of the score; a language's threshold only
-turns scores into decisions.
+At most ``ROWS`` labelled rows of each class are drawn by a hash.  Every fifth of a
+class isn't fitted but calibrates the scale of the scores.  Each language's threshold
+comes from all usable labelled rows that weren't fitted, drawn or not, whose scores
+are counted in bins by Spark.  This holds for any number of rows: none is both fitted
+and calibrated on.  Labels, language, source and id are no inputs of the score; a
+language's threshold only turns scores into decisions.
 
 Defined cases: null text counts as empty; an empty text scores as one without known
 words; rows of an unknown or null language use the common threshold; repeated rows
 have equal scores; an empty table gives an empty result; with no labelled rows of
-both classes every score is 0.
+both classes every score is 0; with fewer than five rows of a class the scale stays
+as fitted; a language with fewer than five unfitted rows of a class uses the common
+threshold.
 """
 
 from __future__ import annotations
@@ -33,8 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strandloom.llm.labelled import platt, sample
-from strandloom.llm.runtime import filtered, text_of, workers
+from strandloom.llm.labelled import known, platt, sample
+from strandloom.llm.runtime import filtered, sized, text_of, workers
 
 ROWS = {1: 2500, 0: 4000}
 BUCKETS = 1 << 16
@@ -44,6 +48,8 @@ FILTERS = 6
 WIDTHS = (1, 2, 3)
 EPOCHS = 4
 CUT = 0.5
+#: Bins of scores to a unit of the logit, up to 30 on either side.
+BINS = 64
 CACHE = 100_000
 #: Words whose filters are computed at once; bounds the memory of long texts.
 BLOCK = 1 << 14
@@ -187,24 +193,36 @@ def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int =
     return net.ready()
 
 
-def calibrate(net: Network, rows: list[np.ndarray], y: np.ndarray, langs: list[str | None], prior: float) -> None:
-    """Scale of the logits, then for each language the cut with the fewest errors, rows weighted to the share ``prior`` of label 1."""
-    logits = np.array([net.logit(r) for r in rows])
-    net.scale = platt(logits, y)
-    logits = net.scale[0] * logits + net.scale[1]
-    weight = np.where(y > 0, prior / max(1e-9, y.mean()), (1 - prior) / max(1e-9, 1 - y.mean()))
-    for lang in sorted({x for x in langs if x is not None}):
-        mine = np.array([x == lang for x in langs])
-        if y[mine].sum() < 5 or (1 - y[mine]).sum() < 5:
-            continue
-        values = np.sort(logits[mine])
-        cuts = np.concatenate(([values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]))
-        loss = np.array([(weight[mine] * ((logits[mine] >= c) != (y[mine] > 0))).sum() for c in cuts])
-        good = cuts[loss <= loss.min() + 1e-12]
-        cut = good[np.argmin(np.abs(good))]  # of equally good ones the nearest to one half
-        cut *= y[mine].sum() / (y[mine].sum() + 30)  # with few positive rows it stays near one half
-        net.cuts[lang] = float(1 / (1 + np.exp(-cut)))
-    net.ready()
+def best_cut(bins: np.ndarray, clean: np.ndarray, toxic: np.ndarray, weight: tuple[float, float]) -> float:
+    """The cut with the fewest errors, as a score; ``bins`` are distinct, with their rows of each class, which weigh ``weight``."""
+    order = np.argsort(bins)
+    bins, clean, toxic = bins[order], clean[order], toxic[order]
+    cuts = np.concatenate(([bins[0] - BINS], (bins[:-1] + 1 + bins[1:]) / 2, [bins[-1] + 1 + BINS])) / BINS
+    missed = np.concatenate(([0], np.cumsum(toxic)))
+    wrong = clean.sum() - np.concatenate(([0], np.cumsum(clean)))
+    loss = weight[1] * missed + weight[0] * wrong
+    good = cuts[loss <= loss.min() + 1e-9 * max(1.0, loss.max())]
+    cut = good[np.argmin(np.abs(good))]  # of equally good ones the nearest to one half
+    cut *= toxic.sum() / (toxic.sum() + 30)  # with few positive rows it stays near one half
+    return float(1 / (1 + np.exp(-cut)))
+
+
+def calibrate(net: Network, rows: DataFrame, weight: tuple[float, float]) -> None:
+    """A cut for each language of ``rows`` (text, lang, y), which weren't fitted; scores are binned and counted in Spark."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def binned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logits = np.array([shared.value.logit(words(x.as_py())) for x in batch.column(0)])
+            bins = np.floor(np.clip(logits, -30, 30) * BINS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(bins)], ["lang", "y", "bin"])
+
+    seen = rows.where("lang is not null").select("text", "lang", "y").mapInArrow(binned, "lang string, y int, bin int")
+    counts = seen.groupBy("lang", "bin").agg(F.sum(1 - F.col("y")).alias("clean"), F.sum("y").alias("toxic"))
+    for lang, part in counts.toPandas().groupby("lang"):  # bounded by languages and bins
+        if part["toxic"].sum() >= 5 and part["clean"].sum() >= 5:
+            net.cuts[lang] = best_cut(*(part[c].to_numpy(np.float64) for c in ("bin", "clean", "toxic")), weight)
+    shared.destroy()
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: dict[int, int] = ROWS) -> Network | None:
@@ -214,28 +232,32 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     if not shares.get(0) or not shares.get(1):
         return None
     drawn = sample(docs, labels, "toxic", usable, rows, id_col, text_col)
-    if lang_col in docs.columns:
-        drawn = drawn.join(docs.select(F.col(id_col), F.col(lang_col).cast("string").alias("lang")), id_col)
-    else:
-        drawn = drawn.withColumn("lang", F.lit(None).cast("string"))
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [words(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array([x.tobytes() for x in found], pa.binary())], ["id", "y", "lang", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x.tobytes() for x in found], pa.binary())], ["id", "y", "words"])
 
-    picked = drawn.select("text", F.xxhash64(id_col).alias("id"), "y", "lang").mapInArrow(made, "id long, y int, lang string, words binary")
+    picked = drawn.select("text", F.xxhash64(id_col).alias("id"), "y").mapInArrow(made, "id long, y int, words binary")
     got = sorted(picked.toPandas().itertuples(index=False), key=lambda r: r.id)  # at most the sum of ``rows``
     seen, y = [np.frombuffer(r.words, np.int64) for r in got], np.array([r.y for r in got], np.float64)
     if len(set(y.tolist())) < 2:
         return None
-    few = len(got) < 1000
-    kept = np.array([few or r.id % 5 != 0 for r in got])
+    ids = {k: list(dict.fromkeys(r.id for r in got if r.y == k)) for k in (0, 1)}
+    fitted = {k: [x for n, x in enumerate(found) if n % 5 != 4] for k, found in ids.items()}
+    inside = {x for found in fitted.values() for x in found}
+    kept = np.array([r.id in inside for r in got])
     net = fit([s for s, k in zip(seen, kept, strict=True) if k], y[kept])
-    test = np.ones(len(got), bool) if few else ~kept
-    langs = [r.lang for r, k in zip(got, test, strict=True) if k]
-    calibrate(net, [s for s, k in zip(seen, test, strict=True) if k], y[test], langs, shares[1] / (shares[0] + shares[1]))
     net.embedded = []  # only their products with the filters are needed to score
+    if len(set(y[~kept].tolist())) == 2:
+        net.scale = platt(np.array([net.logit(s) for s, k in zip(seen, kept, strict=True) if not k]), y[~kept])
+    if lang_col in docs.columns:
+        out = docs.sparkSession.createDataFrame([(x,) for x in sorted(inside)], "fitted long")
+        left = known(labels, "toxic", usable, id_col)
+        left = left.join(F.broadcast(out), F.xxhash64(id_col) == F.col("fitted"), "left_anti")
+        texts = docs.select(F.col(id_col), text_of(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        weight = tuple(shares[k] / max(1, shares[k] - len(fitted[k])) for k in (0, 1))  # rows that weren't fitted stand for their whole class
+        calibrate(net, texts.join(sized(left, sum(shares.values())), id_col), weight)
     return net
 
 

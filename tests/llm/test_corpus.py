@@ -320,6 +320,24 @@ def test_classifiers(spark):
     assert kept.columns == df.columns and 250 < kept.count() < 400
 
 
+def test_language_cuts(spark):
+    rng = np.random.default_rng(6)
+    bins, y = rng.integers(-90, 90, 400), rng.random(400) < 0.4
+    table = pd.DataFrame({"bin": bins, "clean": ~y, "toxic": y}).groupby("bin").sum().reset_index().sample(frac=1, random_state=1)
+    cut = toxicity.best_cut(*(table[c].to_numpy(np.float64) for c in table), (1.0, 2.5))
+    logit = np.log(cut / (1 - cut)) * (y.sum() + 30) / y.sum()
+    loss = lambda c: 2.5 * (y & ((bins + 0.5) / toxicity.BINS < c)).sum() + (~y & ((bins + 0.5) / toxicity.BINS >= c)).sum()
+    assert loss(logit) == min(loss(c / toxicity.BINS) for c in range(-91, 92))
+    df, labels = corpus(spark)
+    df = df.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("de"))
+    model = toxicity.train(df, labels, F.lit(True), rows={1: 6, 0: 10})  # a fifth of the drawn has one toxic row
+    assert set(model.cuts) == {"en", "de"}
+    few = toxicity.train(df, labels, F.lit(True), rows={1: 4, 0: 4})  # every drawn row is fitted, so none sets the scale
+    assert few.scale == (1.0, 0.0) and set(few.cuts) == {"en", "de"}
+    all_fitted = toxicity.train(df, labels, F.col("doc_id").isin(0, 1, 2, 3, 4, 6), rows={1: 4, 0: 4})
+    assert all_fitted.scale == (1.0, 0.0) and all_fitted.cuts == {}
+
+
 def test_pipeline_runs(spark, tmp_path):
     import corpus_pipeline
 
