@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.runtime import text_of
 
-#: Longer labelled texts aren't used to fit; every text is scored whole.
-LONGEST = 200_000
-
 
 def remainder(id_col: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null for a null id."""
@@ -34,7 +31,7 @@ def sample(
     for y, most in rows.items():
         part = all_known.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
         drawn = part if drawn is None else drawn.union(part)
-    return docs.select(F.col(id_col), text_of(text_col).alias("text")).where(F.octet_length("text") <= LONGEST).join(F.broadcast(drawn), id_col)
+    return docs.select(F.col(id_col), text_of(text_col).alias("text")).join(F.broadcast(drawn), id_col)
 
 
 def platt(logit, y):

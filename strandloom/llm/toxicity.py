@@ -51,7 +51,7 @@ CUT = 0.5
 #: Bins of scores to a unit of the logit, up to 30 on either side.
 BINS = 64
 CACHE = 100_000
-#: Words whose filters are computed at once; bounds the memory of long texts.
+#: Words whose filters are computed at once, in fitting too; bounds the memory of long texts.
 BLOCK = 1 << 14
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -130,12 +130,11 @@ class Network:
 def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Network:
     """Back-propagation through the largest windows, Adagrad, rows in random order."""
     rng = np.random.default_rng(seed)
-    index = [buckets(seen) for seen in rows]
     tables = []
     for k in range(TABLES):
         hits = np.zeros((2, BUCKETS))
-        for at, label in zip(index, y, strict=True):
-            hits[int(label), np.unique(at[k])] += 1
+        for seen, label in zip(rows, y, strict=True):
+            hits[int(label), np.unique(buckets(seen)[k])] += 1
         odds = np.log((hits[1] + 0.5) / (y.sum() + 1)) - np.log((hits[0] + 0.5) / (len(y) - y.sum() + 1))
         total = hits.sum(0)
         table = rng.normal(0, 0.02, (BUCKETS, DIMS))
@@ -153,16 +152,27 @@ def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int =
     weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum())) * len(y)
     for _ in range(max(epochs, min(30, 8000 // max(1, len(rows))))):
         for i in rng.permutation(len(rows)):
-            own = index[i]
-            x = np.concatenate([table[at] for table, at in zip(tables, own, strict=True)], axis=1)
-            if len(x) < max(WIDTHS):
-                x = np.vstack((x, np.zeros((max(WIDTHS) - len(x), TABLES * DIMS))))
+            own = buckets(rows[i])
             tops, values = [], []
-            for f, o in zip(filters, offsets, strict=True):
-                n = len(x) - len(f) + 1
-                run = sum(x[j : j + n] @ f[j] for j in range(len(f))) + o
-                tops.append(run.argmax(0))
-                values.append(run.max(0))
+            for k in range(0, max(1, len(own[0]) - max(WIDTHS) + 1), BLOCK):
+                x = np.concatenate([table[at[k : k + BLOCK + max(WIDTHS) - 1]] for table, at in zip(tables, own, strict=True)], axis=1)
+                if len(x) < max(WIDTHS):
+                    x = np.vstack((x, np.zeros((max(WIDTHS) - len(x), TABLES * DIMS))))
+                for m, (f, o) in enumerate(zip(filters, offsets, strict=True)):
+                    n = len(x) - len(f) + 1
+                    run = sum(x[j : j + n] @ f[j] for j in range(len(f))) + o
+                    top, value = run.argmax(0), run.max(0)
+                    if k == 0:
+                        tops.append(top)
+                        values.append(value)
+                    else:
+                        tops[m] = np.where(value > values[m], top + k, tops[m])
+                        values[m] = np.maximum(value, values[m])
+            inputs = [[np.zeros((FILTERS, TABLES * DIMS)) for _ in f] for f in filters]  # the largest windows, before any table changes
+            for top, found in zip(tops, inputs, strict=True):
+                for j, window in enumerate(found):
+                    real = top + j < len(own[0])
+                    window[real] = np.concatenate([table[at[top[real] + j]] for table, at in zip(tables, own, strict=True)], axis=1)
             hidden = np.maximum(np.concatenate(values), 0)
             p = 1 / (1 + np.exp(-np.clip(hidden @ out + net.bias, -30, 30)))
             error = float((p - y[i]) * weight[i])
@@ -176,8 +186,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int =
                 b = back[FILTERS * n : FILTERS * (n + 1)]
                 if not b.any():
                     continue
-                windows = [x[tops[n] + j] for j in range(len(f))]
-                for j, window in enumerate(windows):
+                for j, window in enumerate(inputs[n]):
                     at = tops[n] + j
                     real = at < len(own[0])
                     gx = (b[:, None] * f[j].T)[real]

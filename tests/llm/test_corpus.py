@@ -338,6 +338,19 @@ def test_language_cuts(spark):
     assert all_fitted.scale == (1.0, 0.0) and all_fitted.cuts == {}
 
 
+def test_long_labelled_texts(spark, monkeypatch):
+    df = docs(spark, ["word " * 60_000, "b", None])
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    drawn = labelled.sample(df, labels, "toxic", F.lit(True), {1: 5, 0: 5}).collect()
+    assert sorted((r.doc_id, len(r.text), r.y) for r in drawn) == [(0, 300_000, 1), (1, 1, 0), (2, 0, 0)]
+    rng = random.Random(4)
+    rows = [toxicity.words(" ".join(rng.choices(WORD, k=k))) for k in (0, 1, 2, 3, 9, 40, 41, 42, 43, 90)]
+    whole = toxicity.fit(rows, np.arange(10) % 2, epochs=2)
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    parts = toxicity.fit(rows, np.arange(10) % 2, epochs=2)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(whole.tables, parts.tables, strict=True)) and np.allclose(whole.out, parts.out)
+
+
 def test_pipeline_runs(spark, tmp_path):
     import corpus_pipeline
 
