@@ -19,19 +19,32 @@ def known(labels: DataFrame, label: str, usable: Column, id_col: str = "doc_id")
 
 
 def sample(
-    docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: dict[int, int], id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    usable: Column,
+    rows: dict[int, int],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Texts and labels of at most ``rows[y]`` labelled rows of each class y, drawn by a hash of the id.
+    """id_col, text, y, and columns ``also``, of at most ``rows[y]`` labelled ids of each class y, drawn by a hash of the id.
 
     ``usable`` says which ids may be learned from.  Repeated labels of an id count
-    as the largest, rows with a null label not at all.
+    as the largest, rows with a null label not at all.  Of rows of ``docs`` that
+    share an id one is learned from: the first by a hash of all that is taken.
     """
     all_known = known(labels, label, usable, id_col)
     drawn = None
     for y, most in rows.items():
         part = all_known.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(most)
         drawn = part if drawn is None else drawn.union(part)
-    return docs.select(F.col(id_col), text_of(text_col).alias("text")).join(F.broadcast(drawn), id_col)
+    taken = docs.select(F.col(id_col), text_of(text_col).alias("text"), *[c.alias(k) for k, c in (also or {}).items()])
+    met = taken.join(F.broadcast(drawn), id_col)  # drawn: the sum of ``rows`` at most
+    names = ["text", *(also or {})]
+    place = F.struct(F.xxhash64(*names).alias("h"), *names)
+    one = met.groupBy(id_col, "y").agg(F.min(place).alias("one"))  # partly aggregated, so many copies of an id don't meet in one task
+    return one.select(id_col, "y", *[f"one.{c}" for c in names])
 
 
 def platt(logit, y):

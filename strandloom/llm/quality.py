@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.labelled import sample
-from strandloom.llm.runtime import filtered, text_of, workers
+from strandloom.llm.runtime import filtered, text_of, trimmed, workers
 
 ROWS = 6000
 WORDS = 1 << 16
@@ -39,6 +39,8 @@ BINS = 16
 EPOCHS = 6
 CUT = 0.7
 CACHE = 100_000
+#: How buckets, weights and statistics of a drawn row are sent to the driver.
+PARTS = (np.int32, np.float32, np.float64)
 
 _UPPER, _LOWER, _DIGIT, _SPACE = slice(65, 91), slice(97, 123), slice(48, 58), [9, 10, 11, 12, 13, 32]
 
@@ -145,6 +147,10 @@ def fit(rows: list[tuple], y: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -
     return model
 
 
+def stated_of(docs: DataFrame) -> Column:
+    return F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS) -> Machine | None:
     """A model of ``labels.quality`` from at most ``rows`` usable labelled rows, in the proportion of the classes."""
     workers(docs.sparkSession)
@@ -153,20 +159,24 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     if len(shares) < 2:
         return None
     most = {y: max(1, rows * n // whole) for y, n in shares.items()}
-    texts = docs if "n_chars" in docs.columns else docs.withColumn("n_chars", F.lit(None).cast("long"))
-    drawn = sample(texts, labels, "quality", usable, most, id_col, text_col).join(texts.select(F.col(id_col), F.col("n_chars").cast("long").alias("stated")), id_col)
+    drawn = sample(docs, labels, "quality", usable, most, id_col, text_col, {"stated": stated_of(docs)})
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(t, n) for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            columns = [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), pa.array([f[2] for f in found], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(2).cast(pa.int64()), batch.column(3).cast(pa.int32()), *columns], ["id", "y", "buckets", "weights", "stats"])
+            columns = [pa.array([np.asarray(f[k], t).tobytes() for f in found], pa.binary()) for k, t in enumerate(PARTS)]
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), *columns], ["id", "y", "buckets", "weights", "stats"])
 
-    picked = drawn.select("text", "stated", F.xxhash64(id_col).alias("id"), "y").mapInArrow(made, "id long, y int, buckets array<long>, weights array<double>, stats array<double>")
-    got = sorted(picked.collect(), key=lambda r: r.id)  # at most ``rows`` rows
-    if len({r.y for r in got}) < 2:
+    picked = drawn.select("text", "stated", F.xxhash64(id_col).alias("id"), "y").mapInArrow(made, "id long, y int, buckets binary, weights binary, stats binary")
+    got = picked.toArrow().sort_by("id")  # at most ``rows`` rows, a few bytes for each distinct word
+    y = got["y"].to_numpy().astype(np.float64)
+    if len(set(y.tolist())) < 2:
         return None
-    return fit([(np.array(r.buckets, np.int64), np.array(r.weights), list(r.stats)) for r in got], np.array([r.y for r in got], np.float64))
+    columns = [[np.frombuffer(x.as_buffer(), t) for x in got[name]] for name, t in zip(("buckets", "weights", "stats"), PARTS, strict=True)]
+    model = fit(list(zip(*columns, strict=True)), y)
+    del columns, got
+    trimmed()
+    return model
 
 
 def score(docs: DataFrame, model: Machine | None, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -188,8 +198,7 @@ def score(docs: DataFrame, model: Machine | None, id_col: str = "doc_id", text_c
                     found[k : k + 64] = 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(to_arrow_type(kind)), pa.array(found)], ["id", "score"])
 
-    stated = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    out = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), stated.alias("stated")).mapInArrow(scored, f"id {kind.simpleString()}, score double")
+    out = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), stated_of(docs).alias("stated")).mapInArrow(scored, f"id {kind.simpleString()}, score double")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 #: Rows up to which a table of one or two numbers a row may be broadcast
 #: (under 64 MB); beyond it the same join is a shuffled one.
 BROADCAST_ROWS = 1_000_000
+#: Measured bytes up to which a table with texts may be broadcast.
+BROADCAST_BYTES = 16 << 20
 
 _OWN: dict[str, str] = {}
 
@@ -84,7 +88,30 @@ def workers(spark: SparkSession) -> None:
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted rows are within the bound."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else merged(df)
+
+
+def trimmed() -> None:
+    """Gives memory that a fit has freed back to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def weighed(df: DataFrame, *columns: str) -> DataFrame:
+    """A saved ``df`` marked for broadcast if its rows and the bytes of its wide ``columns`` are within the bound."""
+    bytes_of = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in columns), F.count("*") * 64)
+    return F.broadcast(df) if df.agg(bytes_of).first()[0] <= BROADCAST_BYTES else merged(df)
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` marked for a sort-merge join: for sides that grow with the data and weren't counted.
+
+    Adaptive execution otherwise judges by compressed shuffle bytes, and builds
+    hash tables many times larger on the driver.
+    """
+    return df.hint("merge")
 
 
 def text_of(column: str) -> Column:

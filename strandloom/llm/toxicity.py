@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.labelled import known, platt, sample
-from strandloom.llm.runtime import filtered, sized, text_of, workers
+from strandloom.llm.runtime import filtered, sized, text_of, trimmed, workers
 
 ROWS = {1: 2500, 0: 4000}
 BUCKETS = 1 << 16
@@ -244,22 +244,24 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [words(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x.tobytes() for x in found], pa.binary())], ["id", "y", "words"])
+            found = [words(x.as_py()).tobytes() for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.binary())], ["id", "y", "words"])
 
     picked = drawn.select("text", F.xxhash64(id_col).alias("id"), "y").mapInArrow(made, "id long, y int, words binary")
-    got = sorted(picked.toPandas().itertuples(index=False), key=lambda r: r.id)  # at most the sum of ``rows``
-    seen, y = [np.frombuffer(r.words, np.int64) for r in got], np.array([r.y for r in got], np.float64)
+    got = picked.toArrow().sort_by("id")  # a row for each drawn id, at most the sum of ``rows``
+    seen, y = [np.frombuffer(x.as_buffer(), np.int64) for x in got["words"]], got["y"].to_numpy().astype(np.float64)
     if len(set(y.tolist())) < 2:
         return None
-    ids = {k: list(dict.fromkeys(r.id for r in got if r.y == k)) for k in (0, 1)}
-    fitted = {k: [x for n, x in enumerate(found) if n % 5 != 4] for k, found in ids.items()}
+    numbers = got["id"].to_numpy()
+    fitted = {k: [x for n, x in enumerate(numbers[y == k].tolist()) if n % 5 != 4] for k in (0, 1)}
     inside = {x for found in fitted.values() for x in found}
-    kept = np.array([r.id in inside for r in got])
+    kept = np.array([x in inside for x in numbers.tolist()])
     net = fit([s for s, k in zip(seen, kept, strict=True) if k], y[kept])
     net.embedded = []  # only their products with the filters are needed to score
     if len(set(y[~kept].tolist())) == 2:
         net.scale = platt(np.array([net.logit(s) for s, k in zip(seen, kept, strict=True) if not k]), y[~kept])
+    del seen, got
+    trimmed()
     if lang_col in docs.columns:
         out = docs.sparkSession.createDataFrame([(x,) for x in sorted(inside)], "fitted long")
         left = known(labels, "toxic", usable, id_col)
