@@ -8,7 +8,7 @@ a key.
 
 A digit is a block and not a single byte, so that a text of n bytes needs about
 log(n) levels and not n: blocks start at 64 bytes, and each is three times as long
-as all before it, up to a megabyte.
+as all before it, up to 256 KiB.
 
 Defined cases: null text counts as empty; empty texts are equal to each other; a
 null id is larger than any other; of rows that share both text and id one (the
@@ -20,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.runtime import Scratch, numbered, sized, text_of, without
+from strandloom.llm.runtime import Scratch, merged, numbered, sized, text_of, weighed, without
 
 FIRST_DIGIT = 64
-LONGEST_DIGIT = 1 << 20
+LONGEST_DIGIT = 1 << 18
 
 
 def normalised(column: str) -> Column:
@@ -41,19 +41,18 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
     offset, width, level = 0, first_digit, 0
     source = lite.withColumn("gid", F.lit(0).cast("long"))
     finished: list[DataFrame] = []
+    key = ["gid", "ended", "digit"]
     while True:
         parts = source.select("rid", "id", "gid", (F.col("size") <= offset + width).alias("ended"), F.substring("body", offset + 1, width).alias("digit"))
-        found = (
-            parts.groupBy("gid", "ended", "digit")
-            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("lead"), F.count("*").alias("n"))
-            .where("n > 1")
-        )
-        found = scratch.save(found, f"found-{level}")
-        split = parts.drop("id").join(found, ["gid", "ended", "digit"]).select("rid", "ended", "n", "lead")
+        found = parts.groupBy(*key).agg(F.min("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
+        found = scratch.save(found.withColumn("group", F.monotonically_increasing_id()), f"found-{level}")
+        split = parts.join(weighed(found, "digit"), key).select("rid", "id", "ended", "n", "keep", "group")
         split = scratch.save(split, f"split-{level}")
         scratch.drop(f"found-{level}")
-        finished.append(split.where("ended"))
-        left = split.where("not ended").select("rid", F.col("lead.rid").alias("gid"))
+        whole = split.where("ended")
+        first = whole.where("id <=> keep").groupBy("group").agg(F.min("rid").alias("first"))
+        finished.append(whole.join(merged(first), "group").select("rid", "n", F.struct(F.col("keep").alias("id"), F.col("first").alias("rid")).alias("lead")))
+        left = split.where("not ended").select("rid", F.col("group").alias("gid"))
         if not (alive := left.count()):
             break
         if level == 0:  # later levels read the texts of these rows only
@@ -65,7 +64,7 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
     groups = finished[0]
     for part in finished[1:]:
         groups = groups.union(part)
-    return lite.select("rid", "id", "sha"), groups.select("rid", "n", "lead")
+    return lite.select("rid", "id", "sha"), scratch.save(groups, "groups")
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_digit: int = FIRST_DIGIT) -> DataFrame:
@@ -73,7 +72,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(df.sparkSession, "radix")
     rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     all_rows, groups = _groups(scratch.save(rows, "rows"), scratch, first_digit)
-    return all_rows.join(groups, "rid", "left").select(
+    return all_rows.join(merged(groups), "rid", "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("lead").isNull(), F.col("id")).otherwise(F.col("lead.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
