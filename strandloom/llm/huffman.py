@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.runtime import Scratch, text_of, workers
-from strandloom.llm.tokens import encoder
+from strandloom.llm.tokens import binary, encoder, ended
 
 LIMIT = 20
 STEP = 128
@@ -127,21 +127,18 @@ def unpacked(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.nd
     return out.T.reshape(-1)[:n] if n else np.empty(0, np.uint32)
 
 
-def tokens(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
+def tokens(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0, special: bool = True) -> DataFrame:
     """id_col, row, n, ids (end id last) per document, as numbers of KIND; ids above them are an error."""
     workers(df.sparkSession)
     kind = df.schema[id_col].dataType
     schema = pa.schema([("id", to_arrow_type(kind)), ("row", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, "spaced", KIND)
-        last = np.array(end, KIND).tobytes()
+        encode = encoder(tokenizer, "spaced", KIND, special)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                ids = [x + last for x in encode(part.column(2).to_pylist())]
-                columns = [part.column(0).cast(schema[0].type), part.column(1), pa.array([len(x) // len(last) for x in ids], pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            ids, ends = ended(*encode(batch.column(2)), end)
+            starts = np.append(0, ends)[:-1]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema[0].type), batch.column(1), pa.array(ends - starts), binary(ids, starts, ends)], schema=schema)
 
     texts = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text_of(text_col).alias("text"))
     return texts.mapInArrow(made, f"id {kind.simpleString()}, row long, n long, ids binary").withColumnRenamed("id", id_col)
@@ -229,17 +226,16 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id", limit: int = LI
                 ends = np.cumsum(lens)
                 starts = ends - lens
                 begin = base[shard.as_py()] + first.as_py()
-                parts = [ids[s:e].tobytes() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([docs.values.cast(schema[0].type), pa.array(begin + starts, pa.int64()), pa.array(lens, pa.int64()), pa.array(parts, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs.values.cast(schema[0].type), pa.array(begin + starts, pa.int64()), pa.array(lens, pa.int64()), binary(ids, starts, ends)], schema=schema)
 
     rows = stored.select("shard", "first", "doc_ids", "doc_lens", "checkpoints", "payload")
     return rows.mapInArrow(decoded, f"id {kind.simpleString()}, start long, n long, ids binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0) -> DataFrame:
+def round_trip(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end: int = 0, special: bool = True) -> DataFrame:
     """Tokenizes ``df``, writes the token file to the shared folder and reads it back."""
     scratch = Scratch(df.sparkSession, "tokens")
-    made = scratch.save(tokens(df, tokenizer, id_col, text_col, end), "made")
+    made = scratch.save(tokens(df, tokenizer, id_col, text_col, end, special), "made")
     write(made, f"{scratch.root}/file", id_col)
     scratch.drop("made")
     return read(df.sparkSession, f"{scratch.root}/file", id_col)

@@ -23,52 +23,42 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.runtime import Scratch, text_of, workers
-from strandloom.llm.tokens import encoder
+from strandloom.llm.tokens import binary, encoder, ended
 
 CAPACITY = 4096
 END = 1
 SHARD = 1 << 15
-#: Texts tokenized together.
-STEP = 256
 
 
-def pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pieces(
+    df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END, special: bool = True
+) -> DataFrame:
     """id_col, row, piece, start, length, ids (little-endian unsigned 32-bit) per piece.
 
     ``row`` tells apart rows that share an id; save the result before using it twice.
     """
     workers(df.sparkSession)
-    kind = df.schema[id_col].dataType.simpleString()
+    kind = df.schema[id_col].dataType
+    schema = pa.schema([("id", to_arrow_type(kind)), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, "words")
-        last = np.uint32(end).astype("<u4").tobytes()
+        encode = encoder(tokenizer, "words", special=special)
         for batch in batches:
-            out, held = [], 0
-            numbers, docs, texts = (batch.column(k).to_pylist() for k in range(3))
-            for s in range(0, len(texts), STEP):
-                for row, doc, ids in zip(numbers[s : s + STEP], docs[s : s + STEP], encode(texts[s : s + STEP]), strict=True):
-                    ids += last
-                    for k in range(0, len(ids) // 4, capacity):
-                        part = ids[4 * k : 4 * (k + capacity)]
-                        out.append((doc, row, k // capacity, k, len(part) // 4, part))
-                    held += len(ids)
-                if held >= 16 << 20:
-                    yield rows(out)
-                    out, held = [], 0
-            yield rows(out)
-
-    def rows(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) or [()] * 6
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    schema = pa.schema([("id", to_arrow_type(df.schema[id_col].dataType)), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+            ids, ends = ended(*encode(batch.column(2)), end)
+            begins = np.append(0, ends)[:-1]
+            many = -(-(ends - begins) // capacity)
+            doc = np.repeat(np.arange(len(ends)), many)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            starts = begins[doc] + piece * capacity
+            stops = np.append(starts[1:], ends[-1:])
+            columns = [batch.column(1).take(pa.array(doc)).cast(schema[0].type), batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(piece * capacity), pa.array(stops - starts)]
+            yield pa.RecordBatch.from_arrays([*columns, binary(ids, starts, stops)], schema=schema)
+
     texts = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    made = texts.mapInArrow(cut, f"id {kind}, row long, piece int, start long, length long, ids binary")
+    made = texts.mapInArrow(cut, f"id {kind.simpleString()}, row long, piece int, start long, length long, ids binary")
     return made.withColumnRenamed("id", id_col)
 
 
@@ -147,6 +137,7 @@ def pack(
     end: int = END,
     shard: int = SHARD,
     derived: dict[str, Column] | None = None,
+    special: bool = True,
 ) -> DataFrame:
     """One row per piece: id_col, piece, start, length, ids, sequence_id, offset.
 
@@ -154,7 +145,7 @@ def pack(
     so that the ids themselves needn't be shuffled.
     """
     scratch = Scratch(df.sparkSession, "packing")
-    cut = scratch.save(pieces(df, tokenizer, id_col, text_col, capacity, end), "pieces")
+    cut = scratch.save(pieces(df, tokenizer, id_col, text_col, capacity, end, special), "pieces")
     where = scratch.save(placed(cut, capacity, shard), "placed")
     if derived:
         cut = cut.withColumns(derived).drop("ids")
