@@ -5,8 +5,9 @@ Texts are cut into words by the tokenizer's pattern.  A word's bytes become ids,
 the leftmost of equals, becomes one id, until no pair has a rank.  Ranks are a
 literal map: two constant arrays that form a hash table without collisions, from the
 pair of ids to its rank.  The constants reach the plan as one row, a scalar subquery
-that Spark evaluates once; as literals in the text of the plan they took gigabytes.  Words of more than ``LONG`` bytes fold over a string of
-ids, and merge all places of the best pair in one step.
+that Spark evaluates once; as literals in the text of the plan they took gigabytes.
+Words of more than ``LONG`` bytes merge all places of the best pair in one step, by
+replacing in a string of ids.
 
 Words repeat, so the ``FREQUENT`` most frequent distinct words of the corpus, of
 ``LONG`` bytes at most, are folded once and looked up in a constant map from then on;
@@ -24,18 +25,23 @@ import base64
 import random
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.runtime import Scratch, text_of
+from strandloom.llm.runtime import Scratch, text_of, trimmed
 
 FREQUENT = 1 << 18
 SAMPLE = 20_000
 LONG = 48
 #: What no pair has in the table of ranks.
 NONE = 0xFFFF << 16
+#: Bits of a place in a word, beside a rank.
+PLACE = 30
+#: Stands for the least rank before it is known.
+ASK = -1
 
 #: Fixed value: the tokenizer's pattern, with white space as Unicode has it.
 SPACE = r"\t\n\x0B\f\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -64,7 +70,7 @@ def pair_table(vocabulary: list[bytes]) -> tuple[list[int], list[int]]:
             if left is not None and right is not None:
                 rows.setdefault(left, {})[right] = rank
     draw = random.Random(1)
-    offsets, taken, reach = [0] * len(vocabulary), {}, 1
+    offsets, taken, reach = [0] * (len(vocabulary) + 1), {}, 1
     for left, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
         offset, tries = 0, 0
         while any(offset + right in taken for right in row):
@@ -73,7 +79,7 @@ def pair_table(vocabulary: list[bytes]) -> tuple[list[int], list[int]]:
             offset = draw.randrange(reach)
         offsets[left] = offset
         taken.update((offset + right, left << 16 | rank) for right, rank in row.items())
-    return offsets, [taken.get(k, NONE) for k in range(reach + len(vocabulary))]
+    return offsets, [taken.get(k, NONE) for k in range(reach + len(vocabulary) + 1)]
 
 
 class Bpe:
@@ -85,53 +91,81 @@ class Bpe:
     def __init__(self, path: str) -> None:
         self.vocabulary = load(path)
         self.offsets, self.table = pair_table(self.vocabulary)
+        self.edge = len(self.vocabulary)  # an id with no pairs
 
-    def constants(self, scratch: Scratch, name: str, known: list[tuple[str, str]]) -> DataFrame:
-        """One row: byte ids, offsets, table, pieces in hex, and ``known`` words by slot."""
+    def constants(self, scratch: Scratch, name: str, known: pa.Table | None = None) -> DataFrame:
+        """One row: byte ids, offsets, table, pieces in hex, and ``known`` words with their ids, in maps by the word's hash."""
         ids = {word: i for i, word in enumerate(self.vocabulary)}
-        slots: list[dict[str, str]] = [{} for _ in range(len(known) | 1)]
-        for word, found in known:
-            h = xxhash.xxh64_intdigest(word.encode(), 42)  # what Spark's xxhash64 gives, but for the sign
-            slots[(h - (h >> 63 << 64)) % len(slots)][word] = found
+        words, found = (known["word"], known["ids"]) if known is not None else (pa.chunked_array([[]], pa.string()),) * 2
+        slots = len(words) | 1
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer(), 42) for w in words), np.uint64, len(words))
+        slot = hashes.view(np.int64) % slots  # what pmod of Spark's xxhash64 gives
+        order = pa.array(np.argsort(slot, kind="stable"))
+        ends = np.append(0, np.cumsum(np.bincount(slot, minlength=slots)))
+        maps = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), words.combine_chunks().take(order), found.combine_chunks().take(order))
         columns = {
             "bytes": pa.array([[ids[bytes([b])] for b in range(256)]], pa.list_(pa.int64())),
             "offsets": pa.array([self.offsets], pa.list_(pa.int64())),
             "table": pa.array([self.table], pa.list_(pa.int64())),
             "pieces": pa.array([[word.hex() for word in self.vocabulary]], pa.list_(pa.string())),
-            "known": pa.array([[list(x.items()) for x in slots]], pa.list_(pa.map_(pa.string(), pa.string()))),
+            "known": pa.ListArray.from_arrays(pa.array([0, slots], pa.int32()), maps),
         }
         return scratch.save(scratch.spark.createDataFrame(pa.table(columns)), name)
 
-    def _folded(self, start: Column, t: Column, merged: Callable[[Column], Column]) -> Column:
-        def state(ids: Column) -> Column:
-            """Ids, ranks of their pairs, least of them."""
-            rank = lambda x, y: F.get(t["table"], F.get(t["offsets"], x) + y).bitwiseXOR(F.shiftleft(x, 16))
-            ranks = lambda x: F.zip_with(x, F.slice(x, 2, F.size(x)), rank)
-            return _let(ids, lambda x: _let(ranks(x), lambda r: F.struct(x.alias("ids"), r.alias("ranks"), F.array_min(r).alias("least"))))
+    def _pair(self, x: Column, y: Column, t: Column) -> Column:
+        """Rank << PLACE | place of the pair of two elements, each id << PLACE | place; a rank of 65536 or more is none."""
+        left, right = F.shiftright(x, PLACE), F.shiftright(y, PLACE)
+        rank = F.get(t["table"], F.get(t["offsets"], left.cast("int")) + right).bitwiseXOR(F.shiftleft(left, 16))
+        return F.shiftleft(rank, PLACE) + x.bitwiseAND(F.lit((1 << PLACE) - 1))
+
+    def _folded(self, start: Column, t: Column) -> Column:
+        """``start``, with an id that has no pairs at either end, after all merges.
+
+        Elements hold their place, so all of them differ, and so do the pairs: a merge
+        takes two elements and three pairs away by value and puts one and two there.
+        Steps take turns: one looks for the least pair, one merges it.
+        """
+        at = lambda s, n, k: F.get(s[n], s["k"] + k)
+
+        def step(s: Column, _: Column) -> Column:
+            least = F.array_min(s["pairs"])
+            sought = F.struct(s["ids"].alias("ids"), s["pairs"].alias("pairs"), least.alias("least"), (F.array_position(s["pairs"], least) - 1).cast("int").alias("k"))
+            left, right = at(s, "ids", 0), at(s, "ids", 1)
+            made = s["least"]  # the rank is the new id, the place that of the left one
+            ids = F.array_insert(F.array_remove(F.array_remove(s["ids"], left), right), s["k"] + 1, made)
+            pairs = F.array_remove(F.array_remove(F.array_remove(s["pairs"], at(s, "pairs", -1)), made), at(s, "pairs", 1))
+            pairs = F.array_insert(F.array_insert(pairs, s["k"], self._pair(made, at(s, "ids", 2), t)), s["k"], self._pair(at(s, "ids", -1), made, t))
+            one = F.struct(ids.alias("ids"), pairs.alias("pairs"), F.lit(ASK).cast("bigint").alias("least"), F.lit(0).alias("k"))
+            return F.when(s["least"] == ASK, sought).when(s["least"] < 65536 << PLACE, one).otherwise(s)
+
+        pairs = F.slice(F.transform(start, lambda x, i: F.coalesce(self._pair(x, F.get(start, i + 1), t), F.lit(0).cast("bigint"))), F.lit(1), F.size(start) - 1)
+        begin = F.struct(start.alias("ids"), pairs.alias("pairs"), F.lit(ASK).cast("bigint").alias("least"), F.lit(0).alias("k"))
+        return F.aggregate(F.sequence(F.lit(1), 2 * F.size(start)), begin, step, lambda s: F.transform(F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2), lambda x: F.shiftright(x, PLACE)))
+
+    def _folded_long(self, start: Column, t: Column) -> Column:
+        """As ``_folded``, with all places of the least pair, the leftmost first, merged in one step."""
+        named = lambda x: F.concat(F.lit("<"), F.lpad(F.shiftright(x, PLACE).cast("string"), 5, "0"))
+
+        def step(s: Column, _: Column) -> Column:
+            pairs = F.transform(s["ids"], lambda x, i: self._pair(x, F.get(s["ids"], i + 1), t))
+            sought = F.struct(s["ids"].alias("ids"), F.coalesce(F.array_min(pairs), F.lit(NONE << PLACE)).alias("least"))
+            k = s["least"].bitwiseAND(F.lit((1 << PLACE) - 1)).cast("int")
+            text = F.array_join(F.transform(s["ids"], named), "")
+            text = F.replace(text, F.concat(named(F.get(s["ids"], k)), named(F.get(s["ids"], k + 1))), named(s["least"]))
+            ids = F.transform(F.split(F.substring(text, 2, 2**31 - 1), "<"), lambda x, i: F.shiftleft(x.cast("bigint"), PLACE) + i)
+            one = F.struct(ids.alias("ids"), F.lit(ASK).cast("bigint").alias("least"))
+            return F.when(s["least"] == ASK, sought).when(s["least"] < 65536 << PLACE, one).otherwise(s)
 
-        step = lambda s, _: F.when(s["least"] < 65536, state(merged(s))).otherwise(s)
-        steps = F.sequence(F.lit(1), F.size(start))
-        return F.aggregate(steps, state(start), step, lambda s: s["ids"])
+        begin = F.struct(start.alias("ids"), F.lit(ASK).cast("bigint").alias("least"))
+        return F.aggregate(F.sequence(F.lit(1), 2 * F.size(start)), begin, step, lambda s: F.transform(F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2), lambda x: F.shiftright(x, PLACE)))
 
     def encoded(self, word: Column, t: Column) -> Column:
         """Ids of one word, which isn't empty."""
-
-        def first(s: Column) -> Column:
-            k = F.array_position(s["ranks"], s["least"]).cast("int")
-            return F.flatten(F.array(F.slice(s["ids"], 1, k - 1), F.array(s["least"]), F.slice(s["ids"], k + 2, F.size(s["ids"]))))
-
-        def every(s: Column) -> Column:
-            k = F.array_position(s["ranks"], s["least"]).cast("int")
-            named = lambda x: F.concat(F.lit("<"), F.lpad(x.cast("string"), 5, "0"))
-            text = F.array_join(F.transform(s["ids"], named), "")
-            text = F.replace(text, F.concat(named(F.get(s["ids"], k - 1)), named(F.get(s["ids"], k))), named(s["least"]))
-            return F.transform(F.split(F.substring(text, 2, 2**31 - 1), "<"), lambda x: x.cast("bigint"))
-
         latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-        of = lambda x: F.get(t["bytes"], F.ascii(x))
-        short = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: of(latin.substr(i, F.lit(1))))
-        long = F.transform(F.filter(F.split(latin, ""), lambda x: x != ""), of)
-        return F.when(F.octet_length(word) <= LONG, _let(short, lambda x: self._folded(x, t, first))).otherwise(_let(long, lambda x: self._folded(x, t, every)))
+        bytes_of = F.transform(F.filter(F.split(latin, ""), lambda x: x != ""), lambda x: F.get(t["bytes"], F.ascii(x)))
+        edge = F.array(F.lit(self.edge).cast("bigint"))
+        start = F.transform(F.concat(edge, bytes_of, edge), lambda x, i: F.shiftleft(x, PLACE) + i)
+        return _let(start, lambda x: F.when(F.size(x) <= LONG + 2, self._folded(x, t)).otherwise(self._folded_long(x, t)))
 
     def text(self, word: Column, t: Column) -> Column:
         """Ids of one word, joined by spaces: looked up if known, else folded."""
@@ -164,20 +198,19 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def frequent(df: DataFrame, bpe: Bpe, scratch: Scratch, text_col: str = "text", most: int = FREQUENT, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most ``most`` words that occur twice at least, with their ids, joined by spaces.
+def frequent(df: DataFrame, bpe: Bpe, scratch: Scratch, text_col: str = "text", most: int = FREQUENT, sample: int = SAMPLE) -> pa.Table:
+    """word, ids (joined by spaces) of at most ``most`` words that occur twice at least.
 
     They are the most frequent ones of about ``sample`` rows, drawn by a hash of the
     text.  Only the time that encoding takes depends on which words are drawn.
     """
     text = text_of(text_col)
     rows = max(1, df.count())
-    drawn = df.where(F.pmod(F.xxhash64(F.substring(text, 1, 256)), F.lit(1 << 20)) < min(1 << 20, (sample << 20) // rows))
+    drawn = df.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < min(1 << 20, (sample << 20) // rows))
     seen = drawn.select(F.explode(words(text)).alias("word")).groupBy("word").count()
     top = seen.where((F.octet_length("word") <= LONG) & (F.col("count") > 1)).orderBy(F.desc("count"), "word").limit(most).select("word")
     top = scratch.save(top, "frequent").repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
-    ready = over(top, bpe.constants(scratch, "bare", []), "word", "ids", bpe.text)
-    return [tuple(r) for r in ready.collect()]  # at most ``most`` short rows
+    return over(top, bpe.constants(scratch, "bare"), "word", "ids", bpe.text).toArrow()  # at most ``most`` short rows
 
 
 class Codec:
@@ -187,6 +220,7 @@ class Codec:
         self.bpe, self.df, self.text_col = bpe, df, text_col
         scratch = Scratch(df.sparkSession, "bpe")
         self.constants = bpe.constants(scratch, "constants", frequent(df, bpe, scratch, text_col, most))
+        trimmed()
 
     def encode(self, id_col: str = "doc_id") -> DataFrame:
         """id_col and ids, an array of ids per row of the corpus."""

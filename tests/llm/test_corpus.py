@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import unicodedata
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-from strandloom.llm import ann, bpe, exact_dedup, graph, huffman, labelled, packing, quality, simhash, tokens, toxicity, url_filter, warc
+from strandloom.llm import ann, bpe, exact_dedup, graph, huffman, labelled, packing, quality, queries, simhash, tokens, toxicity, url_filter, warc
 from strandloom.llm.runtime import Scratch
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, rid long, kept string"
@@ -112,33 +114,62 @@ def test_links_between_close_fingerprints(spark):
 TEXTS = [*ODD, "Hello, it's 12 o'clock!  \n\n ok 　 漢字 \U0001f600", "<|endoftext|> x", "end. Mid, \x00 nul \x1c fs", "ab" * 200, " " * 90 + "z", "word. word, Word."]
 
 
-def test_token_ids(spark):
-    for name, cut, kind in (("word_bpe_49k.json", "words", "<u4"), ("byte_bpe_50k.json", "spaced", "<u2")):
-        path = public_tokenizers.path(name)
-        plain = Tokenizer.from_file(path)
+def fuzz():
+    """Short texts of awkward characters, and each character whose lower case or composition has another length, before stops."""
+    rng = random.Random(3)
+    awkward = "abAB İ.,'s \n\n 19é\u0327\u0301\u030a한漢Σσς😀\t\x0b\x1c\x85\xa0"
+    odd = [c for c in map(chr, range(0x11_0000)) if not "\ud800" <= c < "\ue000" and (len(c.lower()) != 1 or len(unicodedata.normalize("NFC", c)) != 1)]
+    special = ["<|endoftext|> x", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|><|endoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>.", "word<|endoftext", "\n<|endoftext|>\n\n"]
+    return [*("".join(rng.choices(awkward, k=rng.randrange(14))) for _ in range(6000)), *(f"a{c}. {c}, A{c}" for c in odd), "İ.", *special]
+
+
+@pytest.mark.parametrize("special", [True, False])
+@pytest.mark.parametrize(("name", "cut", "kind"), [("word_bpe_49k.json", "words", "<u4"), ("byte_bpe_50k.json", "spaced", "<u2")])
+def test_token_ids(monkeypatch, special, name, cut, kind):
+    """Against plain calls of the library, with pieces that are new, known, and forgotten."""
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    if not special:
         plain.encode_special_tokens = True
-        texts = [t or "" for t in TEXTS]
-        for _ in range(2):  # unknown, then known pieces
-            got = tokens.encoder(path, cut, kind)(texts)
-            assert got == [np.array(plain.encode(t, add_special_tokens=False).ids, kind).tobytes() for t in texts]
+    texts = [*(t or "" for t in TEXTS), *fuzz()]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokens, "_MADE", {})
+    encode = tokens.encoder(path, cut, kind, special)
+    for cache in (tokens.CACHE, tokens.CACHE, 300):
+        monkeypatch.setattr(tokens, "CACHE", cache)
+        for step in (1000, 37):
+            for k in range(0, len(texts), step):
+                ids, ends = encode(pa.array(texts[k : k + step], pa.string()))
+                assert ids.dtype == np.dtype(kind)
+                assert [x.tolist() for x in np.split(ids, ends[:-1])] == want[k : k + step] and ends[-1] == len(ids)
+    assert [len(x) for x in encode(pa.array([], pa.string()))] == [0, 0]
 
 
 def test_packing(spark):
     rng = random.Random(5)
-    texts = [*TEXTS, *(" ".join(rng.choices(WORD, k=rng.choice([5, 300, 900, 2500]))) for _ in range(40))]
+    texts = [*TEXTS, "İ. <|endoftext|>", *(" ".join(rng.choices(WORD, k=rng.choice([5, 300, 900, 2500]))) for _ in range(40))]
     path = public_tokenizers.path("word_bpe_49k.json")
-    got = pd.DataFrame([r.asDict() for r in packing.pack(docs(spark, texts), path, shard=1000).collect()]).sort_values(["sequence_id", "offset"])
+    crc = {"crc": F.crc32("ids"), "own": F.col("ids")}
+    got = pd.DataFrame([r.asDict() for r in packing.pack(docs(spark, texts), path, shard=1000, derived=crc).collect()]).sort_values(["sequence_id", "offset"])
     for _, part in got.groupby("sequence_id"):
         assert part["offset"].tolist() == [0, *part["length"].cumsum().tolist()[:-1]] and part["length"].sum() <= 4096
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     for i, part in got.sort_values("piece").groupby("doc_id"):
-        assert b"".join(part["ids"]) == np.array([*plain.encode(texts[i] or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert b"".join(part["own"]) == np.array([*plain.encode(texts[i] or "", add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert part["crc"].tolist() == [zlib.crc32(x) for x in part["own"]]
         assert set(part["length"].iloc[:-1]) <= {4096} and part["start"].tolist() == [4096 * k for k in range(len(part))]
     assert got["sequence_id"].nunique() <= -(-got["length"].sum() // 4096) + 1
     assert packing.pack(docs(spark, []), path).count() == 0
 
 
+def test_packing_repeated_ids(spark):
+    """Null and repeated ids are rows of their own, each with all its pieces."""
+    texts = ["one " * 5000, "one " * 5000, "two", "two", None]
+    got = packing.pack(docs(spark, texts, [4, 4, None, None, 4]), public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert sorted(((r.doc_id, r.piece, r.length) for r in got), key=repr) == sorted([(4, 0, 4096), (4, 0, 4096), (4, 1, 905), (4, 1, 905), (None, 0, 2), (None, 0, 2), (4, 0, 1)], key=repr)
+    assert len({(r.sequence_id, r.offset) for r in got}) == 7
+
+
 def test_matching_rules():
     rng = random.Random(2)
     for _ in range(50):
@@ -163,14 +194,17 @@ def test_huffman_code():
 
 def test_token_file(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    got = sorted(huffman.round_trip(docs(spark, TEXTS), path).collect())
+    texts = [*TEXTS, "a<|endoftext|> b"]
+    got = sorted(huffman.round_trip(docs(spark, texts), path).collect())
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     start = 0
-    for r, t in zip(got, TEXTS, strict=True):
+    for r, t in zip(got, texts, strict=True):
         ids = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
         assert (r.start, r.n, bytes(r.ids)) == (start, len(ids), np.array(ids, "<u4").tobytes())
         start += len(ids)
+    assert huffman.round_trip(docs(spark, []), path).count() == 0
+    odd = huffman.round_trip(docs(spark, ["a b", "c", "c", None], [7, 7, None, None]), path).collect()
+    assert sorted(((r.doc_id, r.start, r.n) for r in odd), key=lambda r: r[1]) in ([(None, 0, 2), (None, 2, 1), (7, 3, 3), (7, 6, 2)], [(None, 0, 1), (None, 1, 2), (7, 3, 3), (7, 6, 2)])
 
 
 def test_byte_bpe(spark):
@@ -184,6 +218,24 @@ def test_byte_bpe(spark):
         assert got == {i: (plain.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)}
 
 
+def test_byte_bpe_query(spark, tmp_path):
+    """The registered query against tiktoken, with repeated and null ids, and over an empty table."""
+    made = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={w: i for i, w in enumerate(made.vocabulary)}, special_tokens={})
+    texts = [*TEXTS, *fuzz()[:3000], "same same", "same same"]
+    ids = [*range(len(texts) - 3), None, 5, 5]
+    df = docs(spark, texts, ids)
+    for name, rows in (("full", df), ("empty", df.where("false"))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    want = []
+    for i, t in zip(ids, texts, strict=True):
+        raw, found = (t or "").encode(), plain.encode_ordinary(t or "")
+        want.append((i, len(found), hashlib.sha256(" ".join(map(str, found)).encode()).hexdigest(), hashlib.sha256(raw).hexdigest()))
+    got = queries.op6_byte_bpe(spark, f"{tmp_path}/full").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert queries.op6_byte_bpe(spark, f"{tmp_path}/empty").count() == 0
+
+
 def test_warc(spark):
     big = "ä" * 600_000
     rows = [(5, "http://a/ b\r\nX: y", big), (2, None, big), (3, "u", "short"), (4, "u", "short"), (7, "u", None), (9, "u", "\r\n\r\n" * 40), (9, "u", "\r\n\r\n"), (None, "u", big)]
