@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.runtime import Scratch
+from strandloom.llm.runtime import Scratch, merged
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataFrame:
@@ -28,11 +28,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
         least = scratch.save(
             both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-large-{step}"
         )
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(merged(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = scratch.save(large, f"{name}-half-{step}")
         least = scratch.save(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-small-{step}")
         small = (
-            large.join(least, "a")
+            large.join(merged(least), "a")
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
             .where("a > b")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.graph import components
-from strandloom.llm.runtime import Scratch, numbered, sized, text_of, without, workers
+from strandloom.llm.runtime import Scratch, merged, numbered, sized, text_of, without, workers
 
 SEED = 42
 SHINGLE = 3
@@ -76,7 +76,7 @@ def links(distinct: DataFrame, scratch: Scratch, crowded: int = CROWDED) -> Data
     probes = parts.select("fp", "seg", F.explode(ball).alias("value")).select("fp", "seg", key)
 
     def verified(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        met = left.select(F.col("fp").alias("x"), *on).join(right.select(F.col("fp").alias("y"), *on), on)
+        met = left.select(F.col("fp").alias("x"), *on).join(merged(right.select(F.col("fp").alias("y"), *on)), on)
         near = met.where((F.col("x") != F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= DISTANCE))
         return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
@@ -104,9 +104,9 @@ def _labelled(rows: DataFrame, scratch: Scratch, crowded: int) -> tuple[DataFram
     edges = scratch.save(links(distinct, scratch, crowded), "edges")
     degree = edges.select("a").union(edges.select("b")).groupBy(F.col("a").alias("fp")).agg(F.count("*").alias("links"))
     member = scratch.save(components(edges, scratch).withColumnRenamed("node", "fp"), "member")
-    owner = scratch.save(member.join(distinct, "fp").groupBy("component").agg(F.min("lead").alias("owner")), "owner")
-    found = scratch.save(member.join(owner, "component").join(degree, "fp", "left").select("fp", "owner", "links"), "found")
-    label = distinct.join(found, "fp", "left").select("fp", F.coalesce("owner", "lead").alias("lead"), F.coalesce("links", F.lit(0)).alias("links"))
+    owner = scratch.save(member.join(merged(distinct), "fp").groupBy("component").agg(F.min("lead").alias("owner")), "owner")
+    found = scratch.save(member.join(merged(owner), "component").join(merged(degree), "fp", "left").select("fp", "owner", "links"), "found")
+    label = distinct.join(merged(found), "fp", "left").select("fp", F.coalesce("owner", "lead").alias("lead"), F.coalesce("links", F.lit(0)).alias("links"))
     return marked, scratch.save(label, "label")
 
 
@@ -117,7 +117,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """
     rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     marked, label = _labelled(rows, Scratch(df.sparkSession, "simhash"), crowded)
-    return marked.join(label, "fp").select(
+    return marked.join(merged(label), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("lead.id").alias("component_id"), "links"
     )
 
@@ -127,4 +127,4 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = Scratch(df.sparkSession, "simhash")
     rows = numbered(df, scratch)
     marked, label = _labelled(rows.select("rid", F.col(f"row.{id_col}").alias("id"), text_of(f"row.{text_col}").alias("text")), scratch, crowded)
-    return without(rows, scratch.save(marked.join(label, "fp").where("lead.rid <> rid").select("rid"), "gone"))
+    return without(rows, scratch.save(marked.join(merged(label), "fp").where("lead.rid <> rid").select("rid"), "gone"))

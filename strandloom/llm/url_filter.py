@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.graph import components
-from strandloom.llm.runtime import Scratch, workers
+from strandloom.llm.runtime import Scratch, merged, weighed, workers
 
 #: As HTML reads it: a name, and a value in quotes or up to a space.  Possessive, so that long tags take no stack.
 ATTRIBUTE = r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?=>)|[^\s>"'][^\s>]*+))?+"""
@@ -186,7 +186,7 @@ def judge(
     _, known = rule_of(host_of(F.col("node")), path_of(F.col("node")), rules)
     said = member.select("component", known.alias("known")).where("known is not null")
     said = scratch.save(said.groupBy("component").agg(F.min("known").alias("alias_verdict")), "said")  # allow < block
-    alias = scratch.save(member.join(said, "component").select("node", "alias_verdict"), "alias")
-    return seen.join(alias, "node", "left").select(
+    alias = scratch.save(member.join(merged(said), "component").select("node", "alias_verdict"), "alias")
+    return seen.join(weighed(alias, "node"), "node", "left").select(
         id_col, "host", "path", "rule", F.coalesce("own", "alias_verdict", F.lit("allow")).alias("verdict"), "alias_verdict"
     )
