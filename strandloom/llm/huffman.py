@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strandloom.llm.runtime import Scratch, text_of, workers
+from strandloom.llm.runtime import Scratch, grouped, text_of, workers
 from strandloom.llm.tokens import binary, encoder, ended
 
 LIMIT = 20
@@ -37,6 +37,10 @@ BLOCK_IDS = 1 << 17
 SHARD_IDS = 1 << 22
 #: How ids are held between tokenizing and coding: vocabularies of up to 65,536 ids.
 KIND = "<u2"
+#: Pieces that a worker knows.
+CACHE = 500_000
+#: Bytes of texts tokenized together, if there is more than one.
+GROUP = 8 << 20
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -134,8 +138,8 @@ def tokens(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     schema = pa.schema([("id", to_arrow_type(kind)), ("row", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, "spaced", KIND, special)
-        for batch in batches:
+        encode = encoder(tokenizer, "spaced", KIND, special, CACHE)
+        for batch in grouped(batches, GROUP):
             ids, ends = ended(*encode(batch.column(2)), end)
             starts = np.append(0, ends)[:-1]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(schema[0].type), batch.column(1), pa.array(ends - starts), binary(ids, starts, ends)], schema=schema)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.labelled import sample
-from strandloom.llm.runtime import filtered, text_of, trimmed, workers
+from strandloom.llm.runtime import begun, filtered, kept, text_of, trimmed, workers
 
 ROWS = 6000
 WORDS = 1 << 16
@@ -56,6 +56,7 @@ class _Buckets(dict):
 
 
 _BUCKETS = _Buckets()
+kept("quality", _BUCKETS.clear)
 
 
 def structure(text: str, stated: int | None, counts: Counter) -> list[float]:
@@ -162,6 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     drawn = sample(docs, labels, "quality", usable, most, id_col, text_col, {"stated": stated_of(docs)})
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun("quality")
         for batch in batches:
             found = [features(t, n) for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             columns = [pa.array([np.asarray(f[k], t).tobytes() for f in found], pa.binary()) for k, t in enumerate(PARTS)]
@@ -187,6 +189,7 @@ def score(docs: DataFrame, model: Machine | None, id_col: str = "doc_id", text_c
     kind = docs.schema[id_col].dataType
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun("quality")
         model = shared.value
         for batch in batches:
             found = np.full(batch.num_rows, 0.5)
@@ -208,6 +211,7 @@ def drop_low_quality(df: DataFrame, model: Machine | None, text_col: str = "text
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:
+        begun("quality")
         model, out = shared.value, []
         if model is None:
             return [True] * batch.num_rows

@@ -76,14 +76,38 @@ MEMORY = {
 }
 
 
+#: What the operators keep in a worker from task to task: how to forget it.
+_KEPT: dict[str, Callable[[], None]] = {}
+_LAST: list[str] = []
+
+
+def kept(owner: str, forget: Callable[[], None]) -> None:
+    """Declares a cache of this process."""
+    _KEPT[owner] = forget
+
+
+def begun(owner: str) -> None:
+    """At the start of a task: forgets what other operators have left in this worker."""
+    if _LAST != [owner]:
+        _LAST[:] = [owner]
+        for other, forget in _KEPT.items():
+            if other != owner:
+                forget()
+        trimmed()
+
+
 def workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, and hold batches of 8 MB."""
+    """Let Python workers import this package from where the driver has it, and hold batches of 4 MB.
+
+    Both hold for the caller's session from then on: its workers' environment, and
+    the size of Arrow batches.
+    """
     top = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if top not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (top, env.get("PYTHONPATH", "")) if x)
     env.update(MEMORY)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
@@ -140,5 +164,19 @@ def filtered(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> Dat
     return df.mapInArrow(kept, df.schema)
 
 
+def grouped(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches side by side as one, until they hold ``most`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.llm.graph import components
-from strandloom.llm.runtime import Scratch, merged, numbered, sized, text_of, without, workers
+from strandloom.llm.runtime import Scratch, begun, merged, numbered, sized, text_of, without, workers
 
 SEED = 42
 SHINGLE = 3
@@ -59,6 +59,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begun("simhash")
     for batch in batches:
         found = [fingerprint(x.as_buffer().to_pybytes()) for x in batch.column(2)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["rid", "id", "fp"])

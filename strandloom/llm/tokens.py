@@ -5,7 +5,7 @@ library once while a worker knows it: a piece has a number, the ids of all known
 lie in one array, and a batch's ids are gathered from it by number.  New pieces are
 encoded many at once, with something between them that leaves their ids alone, or by
 themselves where nothing does.  A worker that knows more than ``CACHE`` pieces after a
-batch keeps the most frequent half; pieces longer than ``LONG`` characters are forgotten
+batch keeps the most frequent half of that; pieces longer than ``LONG`` characters are forgotten
 after each batch.
 
 - ``words``: for tokenizers that drop white space (word_bpe): cut at ASCII white space.
@@ -31,7 +31,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 500_000
+from strandloom.llm.runtime import begun, kept
+
+CACHE = 250_000
 LONG = 64
 #: Pieces in one call of the library.
 CALL = 2000
@@ -56,13 +58,14 @@ BETWEEN = {"words": (" \0 ", r"^[^\x00]*$"), "spaced": ("\n", rf"^ ?[^{SPACE}]+$
 
 Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 _MADE: dict[tuple, Encoder] = {}
+kept("tokens", _MADE.clear)
 
 
 class Pieces:
     """The pieces that a worker knows: their numbers, and their ids in one array."""
 
-    def __init__(self, encoded: Callable[[list[str]], Iterator[tuple[list[str], np.ndarray, np.ndarray]]], kind: str) -> None:
-        self.encoded = encoded
+    def __init__(self, encoded: Callable[[list[str]], Iterator[tuple[list[str], np.ndarray, np.ndarray]]], kind: str, most: int) -> None:
+        self.encoded, self.most = encoded, most
         self.names: list[str] = []
         self.numbers: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, kind), 0
@@ -107,8 +110,8 @@ class Pieces:
         seen = np.bincount(numbers, times, many)[:many]
         seen[: len(self.seen)] += self.seen
         self.seen = seen
-        if many > CACHE:
-            least = np.partition(seen, many - CACHE // 2)[many - CACHE // 2]
+        if many > self.most:
+            least = np.partition(seen, many - self.most // 2)[many - self.most // 2]
             keep = np.flatnonzero(seen > least)
             self.ids, _ = self.gathered(keep)
             self.used, self.seen, self.sizes = len(self.ids), seen[keep], self.sizes[keep]
@@ -178,8 +181,9 @@ def _stopped(names: pa.Array, added: list[str]) -> tuple[pa.Array, pa.Array]:
 CUTS = {"words": _words, "spaced": _spaced}
 
 
-def encoder(path: str, cut: str, kind: str = "<u4", special: bool = True) -> Encoder:
+def encoder(path: str, cut: str, kind: str = "<u4", special: bool = True, cache: int = CACHE) -> Encoder:
     """A function from texts without nulls to all their ids, numbers of ``kind``, and where each text ends; one per worker."""
+    begun("tokens")
     if (path, cut, kind, special) in _MADE:
         return _MADE[path, cut, kind, special]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -220,7 +224,7 @@ def encoder(path: str, cut: str, kind: str = "<u4", special: bool = True) -> Enc
             found = [x.ids for x in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
             yield own, np.array([i for x in found for i in x], np.int64), np.array([len(x) for x in found], np.int64)
 
-    pieces = Pieces(encoded, kind)
+    pieces = Pieces(encoded, kind, cache)
 
     def group(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         sizes, places, names = CUTS[cut](texts, added)

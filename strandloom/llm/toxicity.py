@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from strandloom.llm.labelled import known, platt, sample
-from strandloom.llm.runtime import filtered, sized, text_of, trimmed, workers
+from strandloom.llm.runtime import begun, filtered, kept, sized, text_of, trimmed, workers
 
 ROWS = {1: 2500, 0: 4000}
 BUCKETS = 1 << 16
@@ -70,6 +70,7 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+kept("toxicity", _HASHES.clear)
 
 
 def words(text: str) -> np.ndarray:
@@ -221,6 +222,7 @@ def calibrate(net: Network, rows: DataFrame, weight: tuple[float, float]) -> Non
     shared = rows.sparkSession.sparkContext.broadcast(net)
 
     def binned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun("toxicity")
         for batch in batches:
             logits = np.array([shared.value.logit(words(x.as_py())) for x in batch.column(0)])
             bins = np.floor(np.clip(logits, -30, 30) * BINS).astype(np.int32)
@@ -243,6 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     drawn = sample(docs, labels, "toxic", usable, rows, id_col, text_col)
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun("toxicity")
         for batch in batches:
             found = [words(x.as_py()).tobytes() for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.binary())], ["id", "y", "words"])
@@ -280,6 +283,7 @@ def score(docs: DataFrame, model: Network | None, id_col: str = "doc_id", text_c
     kind = docs.schema[id_col].dataType
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun("toxicity")
         net = shared.value
         for batch in batches:
             found = np.zeros(batch.num_rows)
@@ -304,6 +308,7 @@ def drop_toxic(df: DataFrame, model: Network | None, text_col: str = "text", lan
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:
+        begun("toxicity")
         net = shared.value
         if net is None:
             return [True] * batch.num_rows
