@@ -133,11 +133,10 @@ def test_token_ids(monkeypatch, special, name, cut, kind):
         plain.encode_special_tokens = True
     texts = [*(t or "" for t in TEXTS), *fuzz()]
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    monkeypatch.setattr(tokens, "_MADE", {})
-    encode = tokens.encoder(path, cut, kind, special)
-    for cache in (tokens.CACHE, tokens.CACHE, 300):
-        monkeypatch.setattr(tokens, "CACHE", cache)
-        for step in (1000, 37):
+    for cache in (tokens.CACHE, 300):
+        monkeypatch.setattr(tokens, "_MADE", {})
+        encode = tokens.encoder(path, cut, kind, special, cache)
+        for step in (1000, 1000, 37):
             for k in range(0, len(texts), step):
                 ids, ends = encode(pa.array(texts[k : k + step], pa.string()))
                 assert ids.dtype == np.dtype(kind)
@@ -323,7 +322,7 @@ def test_search(spark):
     got = ann.search(df, F.col("vec_id") % 100 == 0, k=10, block=256).collect()
     hits = 0
     for q in range(0, 1500, 100):
-        score = ann.scores(x[q : q + 1], x)[0]
+        score = ann.scores(np.repeat(x[q : q + 1], len(x), 0), x)
         true = [i for i in np.lexsort((np.arange(1500), -score)) if i != q][:10]
         mine = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q]
         assert len(mine) == 10 and all(s == score[i] for i, s in mine) and mine == sorted(mine, key=lambda m: (-m[1], m[0]))
@@ -333,6 +332,38 @@ def test_search(spark):
     assert few.count() == 20 and ann.search(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_search_odd_rows(spark):
+    """Repeated ids, other lengths, and leaves that are split again, against brute force."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8))
+    x = [(centres[rng.integers(0, 12)] + rng.normal(size=8) * 0.3).tolist() for _ in range(900)] + rng.normal(size=(30, 5)).tolist()
+    ids = [*range(900), *range(900, 930)]
+    x += [x[100], x[200], x[0], x[905]]
+    ids += [100, 3, 0, 910]
+    rows = list(zip(ids, x))
+    df = spark.createDataFrame([*rows, (None, x[0])], "vec_id long, embedding array<double>").repartition(3)
+    got = ann.search(df, F.col("vec_id") % 10 == 0, k=5, sample=200, block=128).collect()
+    mine, want, hits = {}, {}, 0
+    for q, v in rows:
+        if q % 10 == 0:
+            seen = False
+            near = []
+            for i, u in rows:
+                if not seen and (i, u) == (q, v):  # its own row
+                    seen = True
+                elif len(u) == len(v):
+                    near.append((-sum(a * b for a, b in zip(u, v)), i))
+            want.setdefault(q, []).append([i for _, i in sorted(near)[:5]])
+    for r in got:
+        mine.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    for q, lists in want.items():
+        assert sorted(k for k, _ in mine[q]) == sorted(list(range(1, 6)) * len(lists))
+        found = [i for _, i in mine[q]]
+        hits += sum(min(found.count(i), sum(lists, []).count(i)) for i in set(found))
+    assert set(mine) == set(want) and hits >= 0.9 * 5 * sum(map(len, want.values()))
+    assert all(sorted(i for _, i in mine[q]) == sorted(sum(want[q], [])) for q in want if q >= 900)  # of another length: exact
+
+
 def test_sum_of_squares_identity():
     rng = np.random.default_rng(2)
     model = quality.Machine(np.zeros((17, quality.BINS - 1)), 0.3, rng.normal(size=quality.WORDS + 17 * quality.BINS), rng.normal(size=(quality.WORDS + 17 * quality.BINS, 3)))
