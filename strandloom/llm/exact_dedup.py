@@ -11,8 +11,8 @@ log(n) levels and not n: blocks start at 64 bytes, and each is three times as lo
 as all before it, up to 256 KiB.
 
 Defined cases: null text counts as empty; empty texts are equal to each other; a
-null id is larger than any other; of rows that share both text and id one (the
-first written) stays; an empty table gives an empty result.
+null id is larger than any other; of rows that share both text and id one stays; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,15 +44,14 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
     key = ["gid", "ended", "digit"]
     while True:
         parts = source.select("rid", "id", "gid", (F.col("size") <= offset + width).alias("ended"), F.substring("body", offset + 1, width).alias("digit"))
-        found = parts.groupBy(*key).agg(F.min("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
-        found = scratch.save(found.withColumn("group", F.monotonically_increasing_id()), f"found-{level}")
-        split = parts.join(weighed(found, "digit"), key).select("rid", "id", "ended", "n", "keep", "group")
-        split = scratch.save(split, f"split-{level}")
+        first = F.coalesce(F.min_by("rid", "id"), F.min("rid"))  # plain numbers, so that rows are aggregated by hash
+        found = parts.groupBy(*key).agg(F.min("id").alias("keep"), first.alias("first"), F.count("*").alias("n")).where("n > 1")
+        found = scratch.save(found, f"found-{level}")
+        split = parts.drop("id").join(weighed(found, "digit"), key)
+        split = scratch.save(split.select("rid", "ended", "n", F.struct(F.col("keep").alias("id"), F.col("first").alias("rid")).alias("lead")), f"split-{level}")
         scratch.drop(f"found-{level}")
-        whole = split.where("ended")
-        first = whole.where("id <=> keep").groupBy("group").agg(F.min("rid").alias("first"))
-        finished.append(whole.join(merged(first), "group").select("rid", "n", F.struct(F.col("keep").alias("id"), F.col("first").alias("rid")).alias("lead")))
-        left = split.where("not ended").select("rid", F.col("group").alias("gid"))
+        finished.append(split.where("ended").select("rid", "n", "lead"))
+        left = split.where("not ended").select("rid", F.col("lead.rid").alias("gid"))
         if not (alive := left.count()):
             break
         if level == 0:  # later levels read the texts of these rows only
@@ -64,7 +63,7 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
     groups = finished[0]
     for part in finished[1:]:
         groups = groups.union(part)
-    return lite.select("rid", "id", "sha"), scratch.save(groups, "groups")
+    return lite.select("rid", "id", "sha"), groups
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_digit: int = FIRST_DIGIT) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: (under 64 MB); beyond it the same join is a shuffled one.
 BROADCAST_ROWS = 1_000_000
 #: Measured bytes up to which a table with texts may be broadcast.
-BROADCAST_BYTES = 16 << 20
+BROADCAST_BYTES = 4 << 20
 
 _OWN: dict[str, str] = {}
 
