@@ -41,3 +41,17 @@ def first_match(text: Column, linker: str, most: int) -> Column:
 def wildcards(text: Column) -> Column:
     """One key per position, that position replaced by a star."""
     return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.overlay(text, F.lit("*"), i, F.lit(1)))
+
+
+def starred(text: Column, stars: int) -> Column:
+    """Keys with ``stars`` positions replaced: texts of one length share one if and only if they differ in so many at most.
+
+    A text that isn't longer than that has one key, all stars.
+    """
+    made = F.array(F.struct(text.alias("key"), F.lit(0).alias("at")))
+    for left in reversed(range(stars)):
+        further = lambda s, left=left: F.transform(
+            F.sequence(s["at"] + 1, F.length(text) - left), lambda i: F.struct(F.overlay(s["key"], F.lit("*"), i, F.lit(1)).alias("key"), i.alias("at"))
+        )
+        made = F.flatten(F.transform(made, further))
+    return F.when(F.length(text) > stars, F.transform(made, lambda s: s["key"])).otherwise(F.array(F.repeat(F.lit("*"), F.length(text))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequences import wildcards
@@ -57,23 +57,24 @@ def distribution(per_cb: DataFrame) -> DataFrame:
 
 
 def pi_marked(molecules: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Molecules with their place and share among the barcodes of one feature and UMI."""
-    key = Window.partitionBy("sample", "barcode2_name", "corrected_umi")
-    place = F.row_number().over(key.orderBy(F.desc("reads_count"), "barcode1"))
-    marked = molecules.select("*", place.alias("place"), F.count("*").over(key).alias("barcodes"), F.sum("reads_count").over(key).alias("total"))
-    kept = (F.col("place") == 1) & ((F.col("barcodes") == 1) | (F.col("reads_count") / F.col("total") > threshold))
-    return marked.withColumn("kept", kept)
+    """Per feature and UMI: its leading molecule, how many barcodes and reads there are, and whether the leader is kept.
+
+    All are aggregates, so a UMI with very many barcodes isn't sorted in one task.
+    """
+    lead = F.min_by(F.struct("barcode1", "reads_count", "raw_umi_count"), F.struct((-F.col("reads_count")).alias("r"), "barcode1")).alias("lead")
+    each = molecules.groupBy("sample", "barcode2_name", "corrected_umi").agg(lead, F.count("*").alias("barcodes"), F.sum("reads_count").alias("total"))
+    return each.withColumn("kept", (F.col("barcodes") == 1) | (F.col("lead.reads_count") / F.col("total") > threshold))
 
 
 def pi_filtered(marked: DataFrame) -> DataFrame:
     """One molecule per feature and UMI: the only one, or the dominant one."""
-    return marked.where("kept").select("sample", "barcode1", "barcode2_name", "corrected_umi", "reads_count", "raw_umi_count")
+    return marked.where("kept").select("sample", "lead.barcode1", "barcode2_name", "corrected_umi", "lead.reads_count", "lead.raw_umi_count")
 
 
 def pi_qc(marked: DataFrame, threshold: float = 0.8) -> DataFrame:
-    first, many = F.col("place") == 1, F.col("barcodes") > 1
+    many = F.col("barcodes") > 1
     counts = marked.groupBy("sample").agg(
-        F.count("*").alias("total_molecules"), F.count_if(first).alias("total_fb_umis"), F.count_if(first & many).alias("multi_pi_fb_umis"),
+        F.sum("barcodes").alias("total_molecules"), F.count("*").alias("total_fb_umis"), F.count_if(many).alias("multi_pi_fb_umis"),
         F.count_if(F.col("kept") & many).alias("dominant_multi_pi_fb_umis"), F.count_if("kept").alias("retained_molecules"),
     )
     share = lambda a, b: F.round(F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0)), 6)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.sequences import hamming, wildcards
+from strandloom.functions.sequences import hamming, starred
 from strandloom.plans.tables import saved
 
 GROUP = ["sample", "barcode1", "barcode2_name"]
@@ -24,43 +24,50 @@ def raw_counts(valid: DataFrame) -> DataFrame:
 def neighbours(counts: DataFrame, distance: int = 1) -> DataFrame:
     """Ordered pairs (umi, n) to (other, m) of one group within ``distance``, each pair both ways.
 
-    At distance one both meet on a key with one position starred, so a group of any
-    size is spread over its keys; above it on one of distance + 1 equal blocks.
+    At distances one and two both meet on a key with so many positions starred, so a
+    group of any size is spread over its keys and all that meet are neighbours; above
+    that they meet on one of distance + 1 equal blocks.
     """
-    if distance == 1:
-        keys = F.posexplode(wildcards(F.col("umi")))
+    if distance <= 2:
+        keys = F.explode(starred(F.col("umi"), distance)).alias("key")
     else:
         size = F.length("umi")
         cut = lambda k: F.floor(size * k / (distance + 1)).cast("int")
-        keys = F.posexplode(F.array(*[F.substr("umi", cut(k) + 1, cut(k + 1) - cut(k)) for k in range(distance + 1)]))
-    left = counts.select(*NODE, "n", F.length("umi").alias("size"), keys.alias("at", "key"))
-    right = left.select(*GROUP, F.col("umi").alias("other"), F.col("n").alias("m"), "size", "at", "key")
-    met = left.join(right, [*GROUP, "size", "at", "key"]).where("umi <> other")
+        blocks = [F.concat(F.lit(f"{k}:"), F.substr("umi", cut(k) + 1, cut(k + 1) - cut(k))) for k in range(distance + 1)]
+        keys = F.explode(F.array(*blocks)).alias("key")
+    left = counts.select(*NODE, "n", F.length("umi").alias("size"), keys)
+    right = left.select(*GROUP, F.col("umi").alias("other"), F.col("n").alias("m"), "size", "key")
+    met = left.join(right, [*GROUP, "size", "key"]).where("umi <> other")
+    if distance > 2:
+        met = met.where(hamming(F.col("umi"), F.col("other")) <= distance)
     if distance > 1:
-        met = met.where(hamming(F.col("umi"), F.col("other")) <= distance).dropDuplicates([*NODE, "other"])
+        met = met.dropDuplicates([*NODE, "other"])
     return met.select(*NODE, "n", "other", "m")
 
 
 def least_ancestor(counts: DataFrame, arrows: DataFrame) -> DataFrame:
     """counts with column leader, the first in order of all UMIs from which a UMI can be reached.
 
-    ``arrows`` go from umi to other.  Labels move along arrows, and each round also
-    takes the label of the labelled one, so paths halve; a round is two joins on the
-    node, and its table is written to the shared folder.
+    ``arrows`` go from (umi, n) to (other, m).  Only UMIs that have arrows take part in
+    the rounds.  Labels move along arrows, and a round also takes the label of the
+    labelled one, so paths halve; what a UMI is told and what it holds meet in one
+    aggregate, whose table is written to the shared folder.
     """
-    rank = F.struct((-F.col("n")).alias("minus"), "umi")
-    arrows = saved(arrows.select(*NODE, "other"))
-    labels = saved(counts.select(*NODE, "n", rank.alias("label")))
-    while True:
-        told = arrows.join(labels, NODE).select(*GROUP, F.col("other").alias("umi"), "label")
-        jumped = labels.select(*GROUP, F.col("umi").alias("node"), F.col("label.umi").alias("umi")).where("node <> umi")
-        jumped = jumped.join(labels, NODE).select(*GROUP, F.col("node").alias("umi"), "label")
-        best = told.union(jumped).groupBy(*NODE).agg(F.min("label").alias("told"))
-        moved = labels.join(best, NODE, "left").select(*NODE, "n", F.least("label", F.coalesce("told", "label")).alias("label"), (F.col("told") < F.col("label")).alias("new"))
-        moved = saved(moved)
-        labels = moved.drop("new")
-        if not moved.where("new").head(1):
-            return labels.select(*NODE, "n", F.col("label.umi").alias("leader"))
+    rank = lambda n, umi: F.struct((-F.col(n)).alias("minus"), F.col(umi).alias("umi"))
+    arrows = saved(arrows.select(*NODE, "n", "other", "m"))
+    mine, none = F.col("label"), F.lit(None)
+    start = arrows.select(*NODE, rank("n", "umi").alias("own"), rank("n", "umi").alias("label"))
+    start = start.union(arrows.select(*GROUP, F.col("other").alias("umi"), rank("m", "other").alias("own"), F.least(rank("m", "other"), rank("n", "umi")).alias("label")))
+    labels = saved(start.groupBy(*NODE).agg(F.min("own").alias("held"), F.min("label").alias("label")))
+    while labels.where("label < held").head(1):
+        held = labels.select(*NODE, "label")
+        told = arrows.select(*NODE, "other").join(held, NODE).select(*GROUP, F.col("other").alias("umi"), none.cast(labels.schema["held"].dataType).alias("held"), "label")
+        jumps = held.select(*GROUP, F.col("umi").alias("node"), F.col("label.umi").alias("umi")).where("node <> umi")
+        jumped = jumps.join(held, NODE).select(*GROUP, F.col("node").alias("umi"), none.cast(labels.schema["held"].dataType).alias("held"), "label")
+        all_told = held.select(*NODE, mine.alias("held"), "label").union(told).union(jumped)
+        labels = saved(all_told.groupBy(*NODE).agg(F.min("held").alias("held"), F.min("label").alias("label")))
+    found = labels.select(*NODE, F.col("label.umi").alias("leader"))
+    return counts.join(found, NODE, "left").select(*NODE, "n", F.coalesce("leader", "umi").alias("leader"))
 
 
 def assigned(counts: DataFrame, method: str = "directional", distance: int = 1) -> DataFrame:
