@@ -5,7 +5,6 @@ Order among UMIs is by count, largest first, then by sequence.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,36 +83,17 @@ def assigned(counts: DataFrame, method: str = "directional", distance: int = 1)
 
 
 def _adjacency(parts: DataFrame, near: DataFrame) -> DataFrame:
-    """Per component: the fewest first UMIs that cover it; each takes its free neighbours.
+    """Per component: the fewest first UMIs that cover it; each other one belongs to its first neighbour.
 
-    Only components of more than two UMIs need the greedy cover; a component's rows
-    go to one task, which the distance bounds far below a group's size.
+    A UMI is covered once the first of itself and its neighbours leads.  So the last
+    of these over a component says how far leads go, and no component meets in one task.
     """
-    size = parts.groupBy(*GROUP, "leader").agg(F.count("*").alias("members"))
-    parts = parts.join(size, [*GROUP, "leader"])
-    easy = parts.where("members <= 2").select(*NODE, "n", "leader")
-    linked = near.groupBy(*NODE).agg(F.collect_list("other").alias("others"))  # at most as many as a UMI has neighbours
-    hard = parts.where("members > 2").join(linked, NODE)
-
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "umi"], ascending=[False, True], ignore_index=True)
-        others = dict(zip(pdf["umi"], map(set, pdf["others"]), strict=True))
-        order, covered, leads = list(others), set(), []
-        for umi in order:
-            if len(covered) == len(order):
-                break
-            leads.append(umi)
-            covered |= {umi} | others[umi]
-        owner: dict[str, str] = dict.fromkeys(leads)
-        for lead in leads:
-            owner[lead] = owner[lead] or lead
-            for umi in order:
-                if umi in others[lead] and not owner.get(umi) and umi not in leads:
-                    owner[umi] = lead
-        return pdf.assign(leader=[owner[u] for u in pdf["umi"]])[[*NODE, "n", "leader"]]
-
-    schema = easy.schema
-    return easy.unionByName(hard.groupBy(*GROUP, "leader").applyInPandas(cover, schema))
+    place = lambda n, umi: F.struct((-F.col(n)).alias("minus"), F.col(umi).alias("umi"))
+    beside = near.groupBy(*NODE).agg(F.min(place("m", "other")).alias("beside"))
+    own = parts.join(beside, NODE, "left").withColumn("own", place("n", "umi")).withColumn("cover", F.least("own", F.coalesce("beside", "own")))
+    own = saved(own.select(*NODE, "n", "own", "cover", F.col("leader").alias("part")))
+    last = own.groupBy(*GROUP, "part").agg(F.max("cover").alias("last"))
+    return own.join(last, [*GROUP, "part"]).select(*NODE, "n", F.when(F.col("own") <= F.col("last"), F.col("umi")).otherwise(F.col("cover.umi")).alias("leader"))
 
 
 def molecules(assignment: DataFrame) -> DataFrame:

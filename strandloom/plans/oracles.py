@@ -252,6 +252,15 @@ judged AS (
     FROM first)"""
 _OUT = "CASE WHEN length(r1_seq) < 10 THEN 'coordinate_out_of_range:2:10' ELSE '' END"
 _N = "length({0}) - length(replace({0}, 'N', ''))"
+_LENGTHS = f""",
+l AS (SELECT sample, length(r1_seq) AS a, length(r2_seq) AS b, {_N.format('r1_seq')} + {_N.format('r2_seq')} AS ns FROM reads),
+ma AS (SELECT sample, a, row_number() OVER (PARTITION BY sample ORDER BY count(*) DESC, a) AS k FROM l GROUP BY sample, a),
+mb AS (SELECT sample, b, row_number() OVER (PARTITION BY sample ORDER BY count(*) DESC, b) AS k FROM l GROUP BY sample, b),
+lengths AS (
+    SELECT l.sample, count(*) AS reads, min(l.a) AS r1_min, max(l.a) AS r1_max, min(l.b) AS r2_min, max(l.b) AS r2_max, any_value(ma.a) AS r1_mode, any_value(mb.b) AS r2_mode,
+           round(CAST(sum(ns) AS DOUBLE) / sum(l.a + l.b), 8) AS n_base_rate
+    FROM l JOIN ma ON l.sample = ma.sample AND ma.k = 1 JOIN mb ON l.sample = mb.sample AND mb.k = 1 GROUP BY l.sample)"""
+
 
 ORACLES = {
     "reads_synth": f"WITH {_READS} SELECT * FROM reads",
@@ -280,7 +289,7 @@ ORACLES = {
         SELECT raw, anchor, substr(raw, anchor + 1, 8) AS shifted, substr(raw, anchor + 1, 8) AS corrected, 'disabled' AS status, 0 AS shift, 0 AS mismatch, 'disabled' AS kind FROM raws""",
     "correction_trace": f"WITH {_READS}{_CUT}{_FIXED}{_TRACE} SELECT * EXCLUDE (method) FROM trace",
     "correction_stats": _CORRECTION_STATS,
-    "valid_reads": f"WITH {_TO_VALID} SELECT * FROM valid",
+    "valid_reads": f"WITH {_TO_VALID} SELECT *, 'valid' AS correction_summary FROM valid",
     "annotation_gap": f"""WITH {_READS}{_CUT}{_FIXED}
         SELECT g.sample, c.corrected AS barcode2_sequence, count(*) AS reads_count FROM good g JOIN fb_fix c ON g.fb = c.raw
         WHERE c.status = 'valid' AND c.corrected NOT IN (SELECT sequence FROM names) GROUP BY ALL""",
@@ -288,6 +297,15 @@ ORACLES = {
     "group_counts": f"WITH {_TO_VALID} SELECT sample, count(DISTINCT row(barcode1, barcode2_name)) AS groups, CAST(sum(n) AS BIGINT) AS reads, count(*) AS raw_umis FROM counts GROUP BY sample",
     "umi_unique": f"WITH {_TO_VALID} SELECT *, umi AS leader FROM counts",
     "umi_cluster": f"WITH RECURSIVE {_TO_VALID}{_CLUSTER} SELECT * FROM clustered",
+    "umi_adjacency": f"""WITH RECURSIVE {_TO_VALID}{_CLUSTER},
+        r AS (SELECT *, row_number() OVER (PARTITION BY sample, barcode1, barcode2_name ORDER BY n DESC, umi) AS k FROM clustered),
+        c AS (
+            SELECT a.sample, a.barcode1, a.barcode2_name, a.umi, a.n, a.leader, a.k, least(a.k, coalesce(min(b.k) FILTER (hamming(a.umi, b.umi) = 1), a.k)) AS cover
+            FROM r a JOIN r b ON a.sample = b.sample AND a.barcode1 = b.barcode1 AND a.barcode2_name = b.barcode2_name
+            GROUP BY a.sample, a.barcode1, a.barcode2_name, a.umi, a.n, a.leader, a.k),
+        l AS (SELECT *, max(cover) OVER (PARTITION BY sample, barcode1, barcode2_name, leader) AS last FROM c)
+        SELECT l.sample, l.barcode1, l.barcode2_name, l.umi, l.n, CASE WHEN l.k <= l.last THEN l.umi ELSE o.umi END AS leader
+        FROM l JOIN r o ON l.sample = o.sample AND l.barcode1 = o.barcode1 AND l.barcode2_name = o.barcode2_name AND l.cover = o.k""",
     "umi_directional": f"WITH RECURSIVE {_TO_VALID}{_DIRECTIONAL} SELECT * FROM directional",
     "umi_components": f"WITH RECURSIVE {_TO_VALID}{_CLUSTER} SELECT sample, barcode1, barcode2_name, leader AS first_umi, count(*) AS members, CAST(sum(n) AS BIGINT) AS reads FROM clustered GROUP BY ALL",
     "molecules": f"WITH RECURSIVE {_ALL} SELECT * FROM molecules",
@@ -316,12 +334,20 @@ ORACLES = {
     "optimal_point": f"WITH RECURSIVE {_ALL}{_THIN} SELECT * FROM best",
     "optimal_detail": f"WITH RECURSIVE {_ALL}{_THIN} SELECT * FROM chosen",
     "optimal_matrix": f"WITH RECURSIVE {_ALL}{_THIN} SELECT sample, barcode1, barcode2_name, count(*) AS molecules FROM chosen GROUP BY ALL",
-    "quick_test_lengths": f"""WITH {_READS}, l AS (SELECT sample, length(r1_seq) AS a, length(r2_seq) AS b, {_N.format('r1_seq')} + {_N.format('r2_seq')} AS ns FROM reads),
-        ma AS (SELECT sample, a, row_number() OVER (PARTITION BY sample ORDER BY count(*) DESC, a) AS k FROM l GROUP BY sample, a),
-        mb AS (SELECT sample, b, row_number() OVER (PARTITION BY sample ORDER BY count(*) DESC, b) AS k FROM l GROUP BY sample, b)
-        SELECT l.sample, count(*) AS reads, min(l.a) AS r1_min, max(l.a) AS r1_max, min(l.b) AS r2_min, max(l.b) AS r2_max, any_value(ma.a) AS r1_mode, any_value(mb.b) AS r2_mode,
-               round(CAST(sum(ns) AS DOUBLE) / sum(l.a + l.b), 8) AS n_base_rate
-        FROM l JOIN ma ON l.sample = ma.sample AND ma.k = 1 JOIN mb ON l.sample = mb.sample AND mb.k = 1 GROUP BY l.sample""",
+    "quick_test_lengths": f"WITH {_READS}{_LENGTHS} SELECT * FROM lengths",
+    "quick_test_metrics": f"""WITH RECURSIVE {_ALL}{_LENGTHS},
+        v AS (SELECT sample, count(*) AS valid_reads FROM valid GROUP BY sample),
+        m AS (SELECT sample, count(*) AS deduplicated_molecules, round(CAST(sum(reads_count) - count(*) AS DOUBLE) / sum(reads_count), 8) AS duplication_ratio FROM molecules GROUP BY sample)
+        SELECT lengths.*, coalesce(valid_reads, 0) AS valid_reads, round(coalesce(valid_reads, 0) / CAST(reads AS DOUBLE), 6) AS valid_rate, coalesce(deduplicated_molecules, 0) AS deduplicated_molecules, duplication_ratio
+        FROM lengths LEFT JOIN v USING (sample) LEFT JOIN m USING (sample)""",
+    "summary_meta": f"""WITH RECURSIVE {_ALL}{_TRACE}{_THIN},
+        total AS (SELECT sample, count(*) AS total_reads FROM reads GROUP BY sample),
+        hits AS (SELECT sample, count(*) FILTER (segment_name = 'CELL' AND whitelist_hit) AS cell, count(*) FILTER (segment_name = 'FB' AND whitelist_hit) AS fb,
+                        count(*) FILTER (segment_name = 'FB' AND whitelist_hit AND corrected_sequence IN (SELECT sequence FROM names)) AS named FROM trace GROUP BY sample)
+        SELECT t.sample, total_reads, round(cell / CAST(total_reads AS DOUBLE), 6) AS "CELL_valid_rate", round(fb / CAST(total_reads AS DOUBLE), 6) AS "FB_valid_rate",
+               round(coalesce(named / CAST(nullif(fb, 0) AS DOUBLE), 0), 6) AS annotated_rate, b.ratio AS optimal_downsample_ratio, b.sequencing_saturation, b.reads_sampled, b.umi_types, b.umi_detected_once, b.duplication_ratio
+        FROM total t JOIN hits USING (sample) LEFT JOIN best b USING (sample)""",
+    "summary_counts": f"WITH RECURSIVE {_ALL}{_THIN}, matrix2 AS (SELECT sample, barcode1, barcode2_name, count(*) AS molecules FROM chosen GROUP BY ALL) SELECT sample, {_PIVOT} FROM matrix2 GROUP BY sample",
     "top_barcodes": f"""WITH {_TO_VALID}, t AS (SELECT sample, barcode1, count(*) AS reads FROM valid GROUP BY ALL)
         SELECT *, row_number() OVER (PARTITION BY sample ORDER BY reads DESC, barcode1) AS rank FROM t QUALIFY rank <= 10""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequences import hamming, positions
-from strandloom.operators import correct, downsample, extract, matrix, pairs, umi
+from strandloom.operators import correct, downsample, extract, matrix, metrics, pairs, umi
 from strandloom.plans.config import Correction, Segment
 from strandloom.plans.tables import saved
 from strandloom.sources import synthetic
@@ -331,13 +331,32 @@ def optimal_matrix(spark, d):
 @query
 def quick_test_lengths(spark, d):
     """Read lengths and share of N per sample; of equally frequent lengths the smallest."""
-    n = lambda c: F.length(c) - F.length(F.replace(c, F.lit("N"), F.lit("")))
-    reads = synthetic.reads(spark, d).select("sample", F.length("r1_seq").alias("r1"), F.length("r2_seq").alias("r2"), (n("r1_seq") + n("r2_seq")).alias("ns"))
-    sums = reads.groupBy("sample").agg(
-        F.count("*").alias("reads"), F.min("r1").alias("r1_min"), F.max("r1").alias("r1_max"), F.min("r2").alias("r2_min"), F.max("r2").alias("r2_max"),
-        F.mode("r1", True).alias("r1_mode"), F.mode("r2", True).alias("r2_mode"), F.round(F.sum("ns") / F.sum(F.col("r1") + F.col("r2")), 8).alias("n_base_rate"),
-    )
-    return sums
+    return metrics.read_lengths(synthetic.reads(spark, d))
+
+
+@query
+def quick_test_metrics(spark, d):
+    """What the quick test tells of each sample, here over all reads."""
+    valid = saved(correct.valid(_joined(spark, d)))
+    found = umi.molecules(umi.assigned(umi.raw_counts(valid), PLAN.umi_method, PLAN.umi_distance))
+    return metrics.quick_metrics(synthetic.reads(spark, d), valid, found)
+
+
+@query
+def summary_meta(spark, d):
+    extracted = saved(_extracted(spark, d))
+    fixed = saved(correct.correct(extracted, PLAN, synthetic.whitelists(spark, d)))
+    traced, all_reads = correct.trace(fixed, PLAN), saved(correct.joined(fixed, PLAN, synthetic.annotation(spark)))
+    found = umi.molecules(umi.assigned(umi.raw_counts(correct.valid(all_reads)), PLAN.umi_method, PLAN.umi_distance))
+    best = downsample.optimal(downsample.metrics(saved(downsample.kept(found, PLAN)), PLAN))
+    gap = correct.annotation_gap(traced, PLAN, synthetic.annotation(spark))
+    return metrics.summary_meta(correct.stats(extracted, traced, all_reads, PLAN), gap, best, PLAN)
+
+
+@query
+def summary_counts(spark, d):
+    """Samples by features, from the matrix at the optimal point."""
+    return matrix.bulk(optimal_matrix(spark, d), NAMES)
 
 
 @query

@@ -18,7 +18,7 @@ from dataclasses import asdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.operators import correct, downsample, extract, matrix, pairs, umi
+from strandloom.operators import correct, downsample, extract, matrix, metrics, pairs, umi
 from strandloom.plans import reports
 from strandloom.plans.config import ConfigError
 from strandloom.sources import fastq, files
@@ -183,18 +183,13 @@ def quick_test(spark: SparkSession, run: Run, most: int | None = None) -> DataFr
         rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in columns])
         long.append(df.select("sample", scope.alias("scope"), F.inline(rows)))
 
-    ns = sum(F.length(c) - F.length(F.replace(c, F.lit("N"), F.lit(""))) for c in ("r1_seq", "r2_seq"))
-    ends = [f(F.length(f"r{k}_seq")).alias(f"r{k}_length_{name}") for k in (1, 2) for name, f in (("min", F.min), ("max", F.max), ("mode", lambda c: F.mode(c, True)))]
-    rate = F.sum(ns) / F.sum(F.length("r1_seq") + F.length("r2_seq"))
-    lengths = reads.groupBy("sample").agg(F.count("*").alias("reads_examined"), *ends, F.round(rate, 8).alias("n_base_rate"))
+    lengths = metrics.read_lengths(reads).withColumnsRenamed({"reads": "reads_examined", **{f"r{k}_{e}": f"r{k}_length_{e}" for k in (1, 2) for e in ("min", "max", "mode")}})
     told(lengths, F.lit("sample"), [c for c in lengths.columns if c != "sample"])
     segments = extract.stats(got, plan).withColumn("scope", F.concat(F.lit("segment:"), "segment"))
     told(segments, F.col("scope"), ["linker_attempted", "linker_success", "linker_success_rate", "fixed_success", "final_success_rate"])
     corrections = correct.stats(got, correct.trace(fixed, plan), all_reads, plan)
     told(corrections, F.col("scope"), ["total_reads", "valid_reads", "valid_rate"])
-    sums = found.groupBy("sample").agg(F.count("*").alias("deduplicated_molecules"), F.sum("reads_count").alias("n"))
-    sums = sums.withColumn("duplication_ratio", F.round((F.col("n") - F.col("deduplicated_molecules")) / F.col("n"), 8))
-    told(sums, F.lit("sample"), ["deduplicated_molecules", "duplication_ratio"])
+    told(metrics.molecule_sums(found), F.lit("sample"), ["deduplicated_molecules", "duplication_ratio"])
     for scope, key in ((f"top_{plan.names['barcode1']}", "barcode1"), ("top_feature", "barcode2_name")):
         top = correct.ranked(valid.groupBy("sample", key).agg(F.count("*").alias("reads")), "reads", key, 10)
         long.append(top.select("sample", F.lit(scope).alias("scope"), F.concat_ws(":", F.col("rank").cast("string"), key).alias("metric"), F.col("reads").cast("string").alias("value")))
