@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import correct, downsample, extract, matrix, metrics, pairs, umi
 from strandloom.plans import reports
 from strandloom.plans.config import ConfigError
+from strandloom.plans.tables import saved
 from strandloom.sources import fastq, files
 from strandloom.sources.settings import Run
 
@@ -172,11 +173,11 @@ def quick_test(spark: SparkSession, run: Run, most: int | None = None) -> DataFr
     """
     job = Job(spark, run)
     plan, long = run.plan, []
-    reads = fastq.samples(spark, run.samples, most or run.quick_reads)
-    got = extract.extract(reads, plan)
-    fixed = correct.correct(got, plan, {k: w.select("known") for k, w in job.whitelists().items()})
+    reads = saved(fastq.samples(spark, run.samples, most or run.quick_reads))
+    got = saved(extract.extract(reads, plan))
+    fixed = saved(correct.correct(got, plan, {k: w.select("known") for k, w in job.whitelists().items()}))
     all_reads = correct.joined(fixed, plan, job.annotation())
-    valid = correct.valid(all_reads)
+    valid = saved(correct.valid(all_reads))
     found = umi.molecules(umi.assigned(umi.raw_counts(valid), plan.umi_method, plan.umi_distance))
 
     def told(df: DataFrame, scope: Column, columns: list[str]) -> None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,13 @@ def folder(spark: SparkSession) -> str:
     return _OWN.setdefault(context.applicationId, "file://" + tempfile.mkdtemp(prefix="strandloom-"))
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers of this machine, and of others with the same paths, import this package."""
+    top, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if top not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (top, env.get("PYTHONPATH", "")) if x)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written and read again: lineage ends here and outlives lost executors."""
     path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"

@@ -1,14 +1,72 @@
-"""Paired FASTQ files, plain or gzip, from any store that Spark reads."""
+"""Paired FASTQ files, plain or compressed, from any store.
+
+Gzip can't be split, so both files of a sample are read side by side, record by record,
+in one task of its own and without a shuffle; the same way leading pairs are read, and
+reading stops after the last one asked for.  Whole plain files, which can be split, are
+read in blocks by all tasks instead, and their records meet by number.
+"""
 
 from __future__ import annotations
 
+import gzip
+import io
+import re
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import islice, zip_longest
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.plans.config import ConfigError
-from strandloom.plans.tables import saved
+from strandloom.plans.tables import importable, saved
+
+#: Pairs that a task hands over at once.
+STEP = 10_000
+PAIR = "sample string, number long, read_id string, r1_seq string, r2_seq string"
+
+
+def opened(path: str) -> io.TextIOBase:
+    """Lines of a file on this machine or in a store, gunzipped by suffix."""
+    store, name = fs.FileSystem.from_uri(path) if re.match(r"[A-Za-z][\w+.-]*:/", path) else (fs.LocalFileSystem(), path)
+    raw = io.BufferedReader(store.open_input_stream(name, compression=None))
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw, newline=None)
+
+
+def parsed(lines: Iterable[str], path: str) -> Iterator[tuple[str, str]]:
+    """read_id, seq of each record; one that isn't FASTQ raises an error."""
+    lines = (x.rstrip() for x in lines)
+    for number, head in enumerate(lines):
+        seq, plus, quality = (next(lines, None) for _ in range(3))
+        if quality is None:
+            raise ValueError(f"{path} ends within a record")
+        if not (head.startswith("@") and plus.startswith("+") and len(seq) == len(quality)):
+            raise ValueError(f"{path}: record {number} isn't FASTQ")
+        name = (head[1:].split() or [""])[0]
+        yield name[:-2] if name.endswith(("/1", "/2")) else name, seq.upper()
+
+
+def lockstep(spark: SparkSession, files: dict[str, tuple[str, str]], most: int | None = None) -> DataFrame:
+    """sample, number, read_id, r1_seq, r2_seq: a task for each sample, which stops after ``most`` pairs."""
+    importable(spark)
+    listed = sorted(files.items())
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sample, (r1, r2) in (listed[k] for k in batch.column(0).to_pylist()):
+                with opened(r1) as left, opened(r2) as right:
+                    both = islice(enumerate(zip_longest(parsed(left, r1), parsed(right, r2))), most)
+                    while rows := list(islice(both, STEP)):
+                        for number, (x, y) in rows:
+                            if x is None or y is None or x[0] != y[0]:
+                                raise ValueError(f"{sample}: pair {number} doesn't match")
+                        columns = [[sample] * len(rows), [n for n, _ in rows], [x[0] for _, (x, _) in rows], [x[1] for _, (x, _) in rows], [y[1] for _, (_, y) in rows]]
+                        kinds = (pa.string(), pa.int64(), *[pa.string()] * 3)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in PAIR.split(", ")])
+
+    return spark.range(0, len(listed), 1, max(1, len(listed))).mapInArrow(read, PAIR)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -40,24 +98,32 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("number", F.when(bad, F.raise_error(told)).otherwise(name).alias("read_id"), F.upper("seq").alias("seq"))
 
 
-def pairs(spark: SparkSession, sample: str, r1: str, r2: str, most: int | None = None) -> DataFrame:
-    """sample, read_id, r1_seq, r2_seq of the records at the same place of both files.
-
-    Different counts or names raise an error.  With ``most``, the leading pairs only.
-    """
+def joined(spark: SparkSession, sample: str, r1: str, r2: str) -> DataFrame:
+    """What ``lockstep`` gives for one sample, from blocks of both files."""
     left = records(spark, r1).withColumnRenamed("seq", "r1_seq")
     right = records(spark, r2).select("number", F.col("read_id").alias("other"), F.col("seq").alias("r2_seq"))
     both = left.join(right, "number", "full")
-    if most is not None:
-        both = both.where(F.col("number") < most)
     told = F.concat(F.lit(f"{sample}: pair "), F.col("number").cast("string"), F.lit(" doesn't match"))
     same = F.coalesce(F.col("read_id") == F.col("other"), F.lit(False))
-    return both.select(F.lit(sample).alias("sample"), F.when(same, F.col("read_id")).otherwise(F.raise_error(told)).alias("read_id"), "r1_seq", "r2_seq")
+    return both.select(F.lit(sample).alias("sample"), "number", F.when(same, F.col("read_id")).otherwise(F.raise_error(told)).alias("read_id"), "r1_seq", "r2_seq")
 
 
 def samples(spark: SparkSession, files: dict[str, tuple[str, str]], most: int | None = None) -> DataFrame:
-    """All samples' pairs in one table; with ``most``, the leading ones of each."""
-    return reduce(DataFrame.unionByName, [pairs(spark, name, *both, most=most) for name, both in files.items()])
+    """sample, number, read_id, r1_seq, r2_seq of all samples; with ``most``, the leading pairs of each.
+
+    Records are those at the same place of both files; different counts or names
+    raise an error.
+    """
+    plain = {k: v for k, v in files.items() if most is None and not any(x.endswith(".gz") for x in v)}
+    frames = [joined(spark, name, *both) for name, both in plain.items()]
+    if rest := {k: v for k, v in files.items() if k not in plain}:
+        frames.append(lockstep(spark, rest, most))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def pairs(spark: SparkSession, sample: str, r1: str, r2: str, most: int | None = None) -> DataFrame:
+    """One sample's pairs."""
+    return samples(spark, {sample: (r1, r2)}, most)
 
 
 def whitelist(spark: SparkSession, path: str) -> DataFrame:

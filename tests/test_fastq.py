@@ -80,3 +80,26 @@ def test_whitelist(spark, tmp_path):
     path.write_text("ACGT\nx\tACGT\n")
     with pytest.raises(ConfigError):
         fastq.whitelist(spark, str(path))
+
+
+def test_reads_stop(spark, tmp_path):
+    """Leading pairs are read without what follows, and without a shuffle; a broken record is met only if it is read."""
+    good = "".join(f"@r{i}/1\nACGT\n+\nIIII\n" for i in range(5))
+    for k in (1, 2):
+        (tmp_path / f"x{k}.fq.gz").write_bytes(gzip.compress((good.replace("/1", f"/{k}") + "broken\n").encode()))
+    both = [str(tmp_path / f"x{k}.fq.gz") for k in (1, 2)]
+    head = fastq.pairs(spark, "s", *both, most=4)
+    assert [(r.number, r.read_id) for r in head.collect()] == [(k, f"r{k}") for k in range(4)]
+    assert "Exchange" not in head._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="ends within a record"):
+        fastq.pairs(spark, "s", *both).count()
+
+
+def test_ways_agree(spark, tmp_path):
+    """Blocks of plain files and files side by side give the same pairs."""
+    text = [[f"@r{i}/{k} z\n{'acgtn'[: 1 + i % 5]}\n+\n{'I' * (1 + i % 5)}\n" for i in range(300)] for k in (1, 2)]
+    for k in (0, 1):
+        (tmp_path / f"{k}.fq").write_text("".join(text[k]))
+        (tmp_path / f"{k}.fq.gz").write_bytes(gzip.compress("".join(text[k]).encode()))
+    plain, packed = (fastq.pairs(spark, "s", *[str(tmp_path / f"{k}.fq{end}") for k in (0, 1)]) for end in ("", ".gz"))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, packed.collect())) and packed.count() == 300
