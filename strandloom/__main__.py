@@ -59,7 +59,7 @@ def work(args: argparse.Namespace) -> None:
     job = Job(spark, run)
     again = run.overwrite or getattr(args, "overwrite", False)
     if args.command == "quick-test" or (args.command == "run" and run.quick_reads and not args.skip_quick_test):
-        job.shown(quick_test(spark, run, getattr(args, "reads", None)), "quick_test")
+        job.shown_whole(quick_test(spark, run, getattr(args, "reads", None)), "quick_test")
     if args.command == "run":
         job.run = replace(run, overwrite=again)
         job.run_all()

@@ -1,9 +1,12 @@
 """A whole run in steps, all samples in one job, with results that outlive it.
 
-Each step writes its tables under the output folder as Parquet and, last of all, a
-mark with a digest of the settings that it depends on, its own and earlier ones'.  A
-step whose mark has the same digest isn't run again, so an interrupted run goes on
-where it stopped, and changed settings redo what they touch.
+Each step writes its tables under the output folder as Parquet, a folder per sample
+within, and last of all its mark: a digest per sample of the settings that the step
+depends on, its own and earlier ones', and of path, size and time of the files that it
+is made from.  A step works on the samples whose digest is another one, so an interrupted
+run goes on where it stopped, a changed file or setting redoes what it touches, and a new
+sample leaves the others as they are.  Reports, and tables whose columns are features,
+cover all samples and are made again when one changes.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strandloom.operators import correct, downsample, extract, matrix, metrics, pairs, umi
 from strandloom.plans import reports
@@ -27,9 +31,9 @@ from strandloom.sources.settings import Run
 
 log = logging.getLogger("strandloom")
 
-#: What each step's digest covers, besides the steps before it.
+#: The settings that each step's digest covers, besides the steps before it.
 DEPENDS: dict[str, tuple[str, ...]] = {
-    "extract": ("samples", "segments", "names", "preview_reads"),
+    "extract": ("segments", "names", "preview_reads"),
     "correct": ("whitelists", "annotation", "sequence_only", "trace"),
     "dedup": ("umi_method", "umi_distance", "library", "dominance"),
     "matrix": (),
@@ -39,6 +43,15 @@ DEPENDS: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Stands for all samples in a report's mark.
+ALL = "*"
+
+
+def _part(sample: str) -> str:
+    """The folder of a sample's rows: names may hold any characters."""
+    return "s" + hashlib.sha1(sample.encode()).hexdigest()[:16]
+
+
 def steps_of(run: Run) -> list[str]:
     """The steps of a run; pair libraries end in a pair map."""
     return ["extract", "correct", "dedup", "pair-map"] if run.plan.library == "pb-cb" else ["extract", "correct", "dedup", "matrix", "downsample", "report"]
@@ -49,24 +62,48 @@ class Job:
 
     def __init__(self, spark: SparkSession, run: Run) -> None:
         self.spark, self.run, self.plan = spark, run, run.plan
+        self.todo = list(run.samples)  # the samples that the step at hand works on
 
     def path(self, name: str) -> str:
         return f"{self.run.output}/{name}"
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def _read(self, name: str) -> DataFrame:
+        schema = StructType.fromJson(json.loads(files.read(self.spark, self.path(f"_schemas/{name}"))))
+        return self.spark.read.schema(schema.add("part", "string")).parquet(self.path(name)).drop("part")
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+    def table(self, name: str) -> DataFrame:
+        """Rows of the samples that the step works on; outside of a step, of all."""
+        return self._read(name).where(F.col("sample").isin(self.todo))
+
+    def save(self, df: DataFrame, name: str, dealt: bool = True) -> DataFrame:
+        """Puts the rows in the place of those that their samples had.
+
+        ``dealt`` gathers a sample's rows into few files, large samples into more;
+        what is read sample by sample needn't be.
+        """
+        for sample in self.todo:
+            files.remove(self.spark, f"{self.path(name)}/part={_part(sample)}")
+        files.write(self.spark, self.path(f"_schemas/{name}"), df.schema.json())
+        parted = df.withColumn("part", F.concat(F.lit("s"), F.substring(F.sha1(F.col("sample").cast("binary")), 1, 16)))
+        parted = parted.hint("rebalance", "part") if dealt else parted
+        parted.write.partitionBy("part").mode("append").parquet(self.path(name))
+        return self.table(name)
 
     def shown(self, df: DataFrame, name: str) -> DataFrame:
-        """Saved, and written as text under the configured target names."""
+        """Saved, and all samples' rows written as text under the configured target names."""
         saved = self.save(df, name)
+        self._text(self._read(name).where(F.col("sample").isin(list(self.run.samples))), name)
+        return saved
+
+    def shown_whole(self, df: DataFrame, name: str) -> None:
+        """A table of all samples, written anew."""
+        df.write.mode("overwrite").parquet(self.path(name))
+        self._text(self.spark.read.schema(df.schema).parquet(self.path(name)), name)
+
+    def _text(self, df: DataFrame, name: str) -> None:
         names = self.plan.names
         titles = {"barcode1": names["barcode1"], "barcode2": f"{names['barcode2']}_sequence", "barcode2_name": f"{names['barcode2']}_name", "umi": names["umi"]}
-        files.write_tsv(saved.withColumnsRenamed(titles), self.path(f"{name}.tsv"))
-        return saved
+        files.write_tsv(df.withColumnsRenamed(titles), self.path(f"{name}.tsv"))
 
     def whitelists(self) -> dict[str, DataFrame]:
         return {name: fastq.whitelist(self.spark, path) for name, path in self.run.whitelists.items()}
@@ -76,9 +113,10 @@ class Job:
         return a and fastq.annotation(self.spark, a.path, (a.id_column, a.sequence_column, a.name_column), a.allow_duplicate_names)
 
     def extract(self) -> None:
-        got = self.save(extract.extract(fastq.samples(self.spark, self.run.samples), self.plan), "extracted")
+        inputs = {k: self.run.samples[k] for k in self.todo}
+        got = self.save(extract.extract(fastq.samples(self.spark, inputs), self.plan), "extracted", dealt=False)
         self.shown(extract.stats(got, self.plan), "extraction_stats")
-        leading = fastq.samples(self.spark, self.run.samples, self.run.preview_reads)  # by place in the file
+        leading = fastq.samples(self.spark, inputs, self.run.preview_reads)  # by place in the file
         self.shown(extract.flat(extract.extract(leading, self.plan), self.plan), "extraction_preview")
 
     def correct(self) -> None:
@@ -102,9 +140,10 @@ class Job:
             self.shown(pairs.pi_qc(marked, self.plan.dominance), "pi_seq_qc")
 
     def _matrix(self, molecules: DataFrame, name: str) -> None:
-        counts = self.save(matrix.long(molecules), name)
+        self.save(matrix.long(molecules), name)
+        counts = self._read(name).where(F.col("sample").isin(list(self.run.samples)))
         features = [r[0] for r in counts.select("barcode2_name").distinct().orderBy("barcode2_name").collect()]  # columns of the dense form
-        self.shown(matrix.dense(counts, features), f"{name}_dense")
+        self.shown_whole(matrix.dense(counts, features), f"{name}_dense")
 
     def matrix(self) -> None:
         self._matrix(self.table("molecules"), "matrix")
@@ -126,42 +165,67 @@ class Job:
     def report(self) -> None:
         reports.write_all(self)
 
-    def digest(self, step: str) -> str:
-        """Of all settings that the step depends on."""
+    def digest(self, step: str, sample: str) -> str:
+        """Of all settings that the step depends on, and of the files that the sample's rows are made from."""
         told = {**{k: v for k, v in asdict(self.run).items() if k != "plan"}, **asdict(self.plan)}
         order = list(DEPENDS)
         keys = sorted({k for s in order[: order.index(step) + 1] for k in DEPENDS[s]})
-        return hashlib.sha256(json.dumps({k: told[k] for k in keys}, sort_keys=True).encode()).hexdigest()
+        paths = list(self.run.samples[sample])
+        if step != "extract":
+            paths += [*self.run.whitelists.values(), *([self.run.annotation.path] if self.run.annotation else [])]
+        inputs = [files.fingerprint(self.spark, p) for p in paths]
+        return hashlib.sha256(json.dumps([{k: told[k] for k in keys}, inputs], sort_keys=True).encode()).hexdigest()
+
+    def digests(self, step: str) -> dict[str, str]:
+        """By sample; a report has one for all."""
+        each = {s: self.digest(step, s) for s in self.run.samples}
+        return {ALL: hashlib.sha256(json.dumps(each, sort_keys=True).encode()).hexdigest()} if step == "report" else each
+
+    def marks(self, step: str) -> dict[str, str]:
+        mark = self.path(f"_steps/{step}")
+        return json.loads(files.read(self.spark, mark)) if files.exists(self.spark, mark) else {}
+
+    def pending(self, step: str) -> list[str]:
+        """The samples that the step has to work on."""
+        marks = self.marks(step)
+        left = [s for s, digest in self.digests(step).items() if marks.get(s) != digest]
+        return list(self.run.samples) if left == [ALL] else left
 
     def done(self, step: str) -> bool:
-        mark = self.path(f"_steps/{step}")
-        return files.exists(self.spark, mark) and files.read(self.spark, mark) == self.digest(step)
+        return not self.pending(step)
 
     def run_step(self, step: str, again: bool = False) -> bool:
         """False if the step was done before."""
         order = steps_of(self.run)
         if step not in order:
             raise ConfigError(f"no step {step} in this library")
-        if not again and self.done(step):
+        todo = list(self.run.samples) if again else self.pending(step)
+        if not todo:
             log.info("%s: done before", step)
             return False
         earlier = {"report": order[:-1], "downsample": order[:3]}.get(step, order[: min(order.index(step), 3)])
-        if gone := [s for s in earlier if not self.done(s)]:
+        if gone := [s for s in earlier if set(self.pending(s)) & set(todo)]:
             raise ConfigError(f"{step} needs {', '.join(gone)}")
+        digests = self.digests(step)
         for later in order[order.index(step) :]:  # what follows is out of date
-            files.remove(self.spark, self.path(f"_steps/{later}"))
+            files.write(self.spark, self.path(f"_steps/{later}"), json.dumps({k: v for k, v in self.marks(later).items() if k not in (ALL, *todo)}))
         began = time.time()
-        work: Callable[[], None] = getattr(self, step.replace("-", "_"))
-        work()
-        files.write(self.spark, self.path(f"_steps/{step}"), self.digest(step))
-        log.info("%s: %.1f s", step, time.time() - began)
+        self.todo = todo
+        try:
+            work: Callable[[], None] = getattr(self, step.replace("-", "_"))
+            work()
+        finally:
+            self.todo = list(self.run.samples)
+        made = digests if step == "report" else {k: digests[k] for k in todo}
+        files.write(self.spark, self.path(f"_steps/{step}"), json.dumps({**self.marks(step), **made}))
+        log.info("%s: %d samples, %.1f s", step, len(todo), time.time() - began)
         return True
 
     def run_all(self) -> list[str]:
         """Names of the steps that were run."""
         ran: list[str] = []
         for step in steps_of(self.run):
-            if self.run_step(step, again=self.run.overwrite or bool(ran)):
+            if self.run_step(step, again=self.run.overwrite):
                 ran.append(step)
         return ran
 

@@ -16,6 +16,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(found)
 
 
+def fingerprint(spark: SparkSession, path: str) -> list:
+    """Path, bytes and time of change, by which a changed file is noticed; without the latter two if it isn't there."""
+    store, found = _at(spark, path)
+    if not store.exists(found):
+        return [path]
+    status = store.getFileStatus(found)
+    return [path, status.getLen(), status.getModificationTime()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     store, found = _at(spark, path)
     store.delete(found, True)

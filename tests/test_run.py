@@ -2,6 +2,7 @@
 
 import io
 import zipfile
+from dataclasses import replace
 from pathlib import Path
 from xml.etree import ElementTree
 
@@ -61,6 +62,37 @@ def test_whole_run(spark, home):
         job.run_step("report")
 
 
+def test_resume_by_sample(spark, home, monkeypatch):
+    """A new sample, a changed file and changed settings redo what they touch, and nothing else."""
+    read, real = [], fastq.samples
+    monkeypatch.setattr(fastq, "samples", lambda spark, files, most=None: read.append(sorted(files)) or real(spark, files, most))
+    run = settings.load(str(home / "run.yaml"))
+    Job(spark, run).run_all()
+    first = sorted(map(tuple, Job(spark, run).table("molecules").collect()))
+    lines = [(home / f"s1_R{k}.fastq").read_text().splitlines(keepends=True) for k in (1, 2)]
+    for k in (1, 2):
+        (home / f"00 2_R{k}.fastq").write_text("".join(lines[k - 1][:8]))
+    both = replace(run, samples={**run.samples, "00 2": tuple(str(home / f"00 2_R{k}.fastq") for k in (1, 2))})
+    read.clear()
+    job = Job(spark, both)
+    assert job.pending("extract") == ["00 2"] and job.run_all() == ["extract", "correct", "dedup", "matrix", "downsample", "report"]
+    assert read == [["00 2"], ["00 2"]]  # all pairs, and the preview
+    rows = sorted(map(tuple, job.table("molecules").collect()))
+    assert [r for r in rows if r[0] == "s1"] == first and [r[0] for r in rows if r[0] != "s1"] == ["00 2"] and job.run_all() == []
+    meta = sheet(Path(run.output) / "summary.xlsx", 1)
+    assert [r[0] for r in meta] == ["sample", "s1", "00 2"]
+    for k in (1, 2):
+        (home / f"00 2_R{k}.fastq").write_text("".join(lines[k - 1][:4]) * 3)
+    read.clear()
+    job = Job(spark, both)
+    assert "report" in job.run_all() and read == [["00 2"], ["00 2"]]
+    assert job.table("extracted").groupBy("sample").count().orderBy("sample").collect() == [("00 2", 3), ("s1", 9)]
+    white = home / "cells.txt"
+    white.write_text(white.read_text() + "GGGGGGGG\n")
+    read.clear()
+    assert Job(spark, both).run_all() == ["correct", "dedup", "matrix", "downsample", "report"] and read == []
+
+
 def test_quick_test(spark, home):
     run = settings.load(str(home / "run.yaml"))
     found = {(r.scope, r.metric): r.value for r in quick_test(spark, run, 4).collect()}
