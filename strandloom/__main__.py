@@ -53,13 +53,15 @@ def work(args: argparse.Namespace) -> None:
     from pyspark.sql import SparkSession
 
     from strandloom.plans.steps import Job, quick_test
+    from strandloom.plans.tables import scope
 
     run = chosen(run, args.sample)
     spark = SparkSession.builder.appName("strandloom").getOrCreate()
     job = Job(spark, run)
     again = run.overwrite or getattr(args, "overwrite", False)
     if args.command == "quick-test" or (args.command == "run" and run.quick_reads and not args.skip_quick_test):
-        job.shown_whole(quick_test(spark, run, getattr(args, "reads", None)), "quick_test")
+        with scope(spark):
+            job.shown_whole(quick_test(spark, run, getattr(args, "reads", None)), "quick_test")
     if args.command == "run":
         job.run = replace(run, overwrite=again)
         job.run_all()

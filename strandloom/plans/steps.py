@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from strandloom.operators import correct, downsample, extract, matrix, metrics, pairs, umi
 from strandloom.plans import reports
 from strandloom.plans.config import ConfigError
-from strandloom.plans.tables import saved
+from strandloom.plans.tables import saved, scope
 from strandloom.sources import fastq, files
 from strandloom.sources.settings import Run
 
@@ -213,7 +213,8 @@ class Job:
         self.todo = todo
         try:
             work: Callable[[], None] = getattr(self, step.replace("-", "_"))
-            work()
+            with scope(self.spark):
+                work()
         finally:
             self.todo = list(self.run.samples)
         made = digests if step == "report" else {k: digests[k] for k in todo}

@@ -9,6 +9,7 @@ from xml.etree import ElementTree
 import pytest
 
 from strandloom.__main__ import main
+from strandloom.plans import tables
 from strandloom.plans.config import ConfigError
 from strandloom.plans.reports import flags
 from strandloom.plans.steps import Job, quick_test
@@ -93,6 +94,12 @@ def test_resume_by_sample(spark, home, monkeypatch):
     assert Job(spark, both).run_all() == ["correct", "dedup", "matrix", "downsample", "report"] and read == []
 
 
+def test_tables_of_a_step_go(spark, home):
+    made = set(Path(tables.folder(spark).removeprefix("file://")).glob("table-*"))
+    Job(spark, settings.load(str(home / "run.yaml"))).run_all()
+    assert set(Path(tables.folder(spark).removeprefix("file://")).glob("table-*")) == made
+
+
 def test_quick_test(spark, home):
     run = settings.load(str(home / "run.yaml"))
     found = {(r.scope, r.metric): r.value for r in quick_test(spark, run, 4).collect()}
