@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -37,22 +40,45 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = context.applicationId
     if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="strandloom-")
+        own = tempfile.mkdtemp(prefix="strandloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _OWN[app] = f"file://{own}"
         context.setCheckpointDir(_OWN[app])
     return _OWN[app]
 
 
+_ROOTS: list[str] = []
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables of all operators called within, at its end: their results must be written before."""
+    before = len(_ROOTS)
+    try:
+        yield
+    finally:
+        for root in _ROOTS[before:]:
+            removed(spark, root)
+        del _ROOTS[before:]
+
+
 class Scratch:
     """Tables of one operator call, written to the shared folder.
 
     A written table cuts the lineage and survives lost executors.  ``drop`` frees
-    a table early; the rest stays until the folder is cleaned, because the result
-    that the caller holds may still read it.
+    a table early; the rest stays until the ``scope`` around the call ends, because the
+    result that the caller holds may still read it.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _ROOTS.append(self.root)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -60,11 +86,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(conf).delete(path, True)
+            removed(self.spark, f"{self.root}/{name}")
 
 
 #: Lets workers give freed memory back at once: they live on from stage to stage.

@@ -446,3 +446,48 @@ def test_pipeline_runs(spark, tmp_path):
     clean = {i for i in range(500) if i % 5 and i % 3}
     assert len(kept & clean) >= 0.95 * len(clean) and len(kept - clean) <= 30
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_scope(spark):
+    from pathlib import Path
+
+    from strandloom.llm import runtime
+
+    folder = Path(runtime.shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    with runtime.scope(spark):
+        assert exact_dedup.drop_exact_copies(docs(spark, ["a", "a", "b"])).count() == 2 and set(folder.iterdir()) > before
+    assert set(folder.iterdir()) == before
+
+
+def test_repeated_training_ids(spark):
+    """An id that repeats is learned from once, with one row's text and metadata."""
+    df = docs(spark, [f"text {i}" for i in range(100)] + ["other"] * 5, [7] * 100 + [8] * 5)
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0), (8, 0)], "doc_id long, quality int")
+    also = {"stated": F.col("n_chars")}
+    got = labelled.sample(df, labels, "quality", F.lit(True), {1: 50, 0: 50}, also=also).collect()
+    assert sorted((r.doc_id, r.y, r.stated == len(r.text)) for r in got) == [(7, 1, True), (8, 0, True)]
+    again = labelled.sample(df.repartition(5), labels, "quality", F.lit(True), {1: 50, 0: 50}, also=also).collect()
+    assert sorted(r.text for r in again) == sorted(r.text for r in got)
+    assert quality.train(df, labels, F.lit(True)) is not None
+
+
+def test_machine_and_network_against_plain_sums():
+    """Logits of many rows against sums over all pairs, and pooled values against windows one by one."""
+    rng = np.random.default_rng(8)
+    size = quality.WORDS + 17 * quality.BINS
+    model = quality.Machine(rng.normal(size=(17, quality.BINS - 1)).cumsum(1), 0.1, rng.normal(size=size), rng.normal(size=(size, quality.RANK)))
+    words = random.Random(2)
+    rows = [quality.features(" ".join(words.choices(WORD, k=k)), stated) for k, stated in ((0, None), (1, 4), (7, 50), (60, 400), (300, 9))]
+    index, value, starts = model.sparse(rows)
+    for got, a, b in zip(model.logits(rows), starts, [*starts[1:], len(index)], strict=True):
+        x = model.factors[index[a:b]] * value[a:b, None]
+        pairs = sum(float(x[i] @ x[j]) for i in range(len(x)) for j in range(i))
+        assert np.isclose(got, 0.1 + model.linear[index[a:b]] @ value[a:b] + pairs)
+    net = toxicity.fit([toxicity.words(" ".join(words.choices(WORD, k=9))) for _ in range(12)], np.arange(12) % 2, epochs=1)
+    tables = [t for t in net.embedded]
+    for k in (3, 4, 11, 40):
+        seen = toxicity.words(" ".join(words.choices(WORD, k=k)))
+        x = np.concatenate([t[at] for t, at in zip(tables, toxicity.buckets(seen), strict=True)], axis=1)
+        plain = [max(sum(float(x[s + j] @ f[j][:, c]) for j in range(len(f))) for s in range(k - len(f) + 1)) for f in net.filters for c in range(toxicity.FILTERS)]
+        assert np.allclose(net.pooled(seen), plain, atol=1e-4)
