@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import exact_dedup, packing, quality, simhash, toxicity
 from strandloom.llm.labelled import remainder
-from strandloom.llm.runtime import shared_dir, table
+from strandloom.llm.runtime import removed, scope, shared_dir, table
 
 #: SQL can't express the classifiers' fitting.
 ORACLE_SQL = None
@@ -56,11 +56,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each result written as Parquet and read again."""
+    """All stages over documents, each result written as Parquet and read again.
+
+    A stage's own tables go once its result is written, and a result once the next
+    one is; the last stays for the caller.
+    """
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        made = stage(spark, docs, sf_dir)
-        made.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(made.schema).parquet(f"{folder}/{name}")
+        with scope(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(f"{folder}/{name}")
+        if last:
+            removed(spark, f"{folder}/{last}")
+        docs, last = spark.read.schema(made.schema).parquet(f"{folder}/{name}"), name
     return docs
