@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.runtime import Scratch, merged, numbered, sized, text_of, weighed, without
+from strandloom.llm.runtime import Scratch, merged, numbered, sized, text_of, without
 
 FIRST_DIGIT = 64
 LONGEST_DIGIT = 1 << 18
@@ -47,7 +47,7 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
         first = F.coalesce(F.min_by("rid", "id"), F.min("rid"))  # plain numbers, so that rows are aggregated by hash
         found = parts.groupBy(*key).agg(F.min("id").alias("keep"), first.alias("first"), F.count("*").alias("n")).where("n > 1")
         found = scratch.save(found, f"found-{level}")
-        split = parts.drop("id").join(weighed(found, "digit"), key)
+        split = parts.drop("id").join(merged(found), key)
         split = scratch.save(split.select("rid", "ended", "n", F.struct(F.col("keep").alias("id"), F.col("first").alias("rid")).alias("lead")), f"split-{level}")
         scratch.drop(f"found-{level}")
         finished.append(split.where("ended").select("rid", "n", "lead"))
