@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm import exact_dedup, packing, quality, simhash, toxicity
 from strandloom.llm.labelled import remainder
-from strandloom.llm.runtime import removed, scope, shared_dir, table
+from strandloom.llm.runtime import removed, scope, shared_dir, table, written
 
 #: SQL can't express the classifiers' fitting.
 ORACLE_SQL = None
@@ -66,7 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         with scope(spark):
             made = stage(spark, docs, sf_dir)
-            made.write.parquet(f"{folder}/{name}")
+            written(made, f"{folder}/{name}")
         if last:
             removed(spark, f"{folder}/{last}")
         docs, last = spark.read.schema(made.schema).parquet(f"{folder}/{name}"), name

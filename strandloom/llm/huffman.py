@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strandloom.llm.runtime import Scratch, grouped, text_of, workers
+from strandloom.llm.runtime import Scratch, grouped, text_of, workers, written
 from strandloom.llm.tokens import binary, encoder, ended
 
 LIMIT = 20
@@ -168,7 +168,7 @@ def write(made: DataFrame, path: str, id_col: str = "doc_id", limit: int = LIMIT
         counts[r.id] = r.n
     bits = code_lengths(counts, limit)
     codes = canonical(bits)
-    spark.createDataFrame([(int(i), int(bits[i])) for i in np.flatnonzero(bits)], "id long, bits int").coalesce(1).write.mode("overwrite").parquet(f"{path}/lengths")
+    written(spark.createDataFrame([(int(i), int(bits[i])) for i in np.flatnonzero(bits)], "id long, bits int").coalesce(1), f"{path}/lengths")
 
     kind = made.schema[id_col].dataType
     schema = pa.schema([
@@ -202,7 +202,7 @@ def write(made: DataFrame, path: str, id_col: str = "doc_id", limit: int = LIMIT
     shards = max(1, -(-int(counts.sum()) // SHARD_IDS))
     ordered = made.repartitionByRange(shards, id_col, "row").sortWithinPartitions(id_col, "row").select(id_col, "ids")
     ddl = f"shard int, block int, first long, doc_ids array<{kind.simpleString()}>, doc_lens array<long>, checkpoints array<long>, payload binary"
-    ordered.mapInArrow(blocks, ddl).write.mode("overwrite").parquet(f"{path}/blocks")
+    written(ordered.mapInArrow(blocks, ddl), f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str, id_col: str = "doc_id", limit: int = LIMIT) -> DataFrame:

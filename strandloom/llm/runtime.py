@@ -67,6 +67,16 @@ def scope(spark: SparkSession) -> Iterator[None]:
         del _ROOTS[before:]
 
 
+#: Local files without others of checksums.  Java starts a chmod for each file and folder that
+#: it makes, and such a process has the whole memory of the JVM until it runs.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def written(df: DataFrame, path: str) -> None:
+    """Writes an intermediate table, in place of one that is there."""
+    df.write.mode("overwrite").options(**PLAIN_FILES).parquet(path)
+
+
 class Scratch:
     """Tables of one operator call, written to the shared folder.
 
@@ -82,7 +92,7 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        written(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

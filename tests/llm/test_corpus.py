@@ -491,3 +491,20 @@ def test_machine_and_network_against_plain_sums():
         x = np.concatenate([t[at] for t, at in zip(tables, toxicity.buckets(seen), strict=True)], axis=1)
         plain = [max(sum(float(x[s + j] @ f[j][:, c]) for j in range(len(f))) for s in range(k - len(f) + 1)) for f in net.filters for c in range(toxicity.FILTERS)]
         assert np.allclose(net.pooled(seen), plain, atol=1e-4)
+
+
+def test_processes_of_a_saved_table(spark, tmp_path):
+    """Java starts a process for a file's permissions, which has the JVM's whole memory until it runs: one a file, none for checksums."""
+    df = docs(spark, [f"some words {i}" for i in range(40)]).repartition(4)
+    recording = spark._jvm.jdk.jfr.Recording()
+    recording.enable("jdk.ProcessStart")
+    recording.start()
+    saved = Scratch(spark, "t").save(df, "rows")
+    recording.stop()
+    dump = spark._jvm.java.nio.file.Path.of(f"{tmp_path}/starts.jfr", spark._sc._gateway.new_array(spark._jvm.String, 0))
+    recording.dump(dump)
+    recording.close()
+    started = [e.getString("command") for e in spark._jvm.jdk.jfr.consumer.RecordingFile.readAllEvents(dump)]
+    assert len([c for c in started if "/part-" in c]) == len(saved.inputFiles()) == 4
+    assert not [c for c in started if ".crc" in c]
+    assert saved.count() == 40
