@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.runtime import Scratch, text_of, trimmed
 
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 SAMPLE = 20_000
 LONG = 48
 #: What no pair has in the table of ranks.
@@ -96,8 +96,8 @@ class Bpe:
     def constants(self, scratch: Scratch, name: str, known: pa.Table | None = None) -> DataFrame:
         """One row: byte ids, offsets, table, pieces in hex, and ``known`` words with their ids, in maps by the word's hash."""
         ids = {word: i for i, word in enumerate(self.vocabulary)}
-        words, found = (known["word"], known["ids"]) if known is not None else (pa.chunked_array([[]], pa.string()),) * 2
-        slots = len(words) | 1
+        words, found = (known["word"], known["ids"]) if known is not None else (pa.chunked_array([[]], k) for k in (pa.string(), pa.list_(pa.int32())))
+        slots = len(words) // 4 | 1  # a map has about 24 bytes of its own
         hashes = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer(), 42) for w in words), np.uint64, len(words))
         slot = hashes.view(np.int64) % slots  # what pmod of Spark's xxhash64 gives
         order = pa.array(np.argsort(slot, kind="stable"))
@@ -140,7 +140,8 @@ class Bpe:
 
         pairs = F.slice(F.transform(start, lambda x, i: F.coalesce(self._pair(x, F.get(start, i + 1), t), F.lit(0).cast("bigint"))), F.lit(1), F.size(start) - 1)
         begin = F.struct(start.alias("ids"), pairs.alias("pairs"), F.lit(ASK).cast("bigint").alias("least"), F.lit(0).alias("k"))
-        return F.aggregate(F.sequence(F.lit(1), 2 * F.size(start)), begin, step, lambda s: F.transform(F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2), lambda x: F.shiftright(x, PLACE)))
+        steps = F.sequence(F.lit(1), 2 * F.size(start) - 5)  # a look more than merges, of which n bytes have n - 1 at most
+        return F.aggregate(steps, begin, step, lambda s: F.transform(F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2), lambda x: F.shiftright(x, PLACE)))
 
     def _folded_long(self, start: Column, t: Column) -> Column:
         """As ``_folded``, with all places of the least pair, the leftmost first, merged in one step."""
@@ -165,16 +166,16 @@ class Bpe:
         bytes_of = F.transform(F.filter(F.split(latin, ""), lambda x: x != ""), lambda x: F.get(t["bytes"], F.ascii(x)))
         edge = F.array(F.lit(self.edge).cast("bigint"))
         start = F.transform(F.concat(edge, bytes_of, edge), lambda x, i: F.shiftleft(x, PLACE) + i)
-        return _let(start, lambda x: F.when(F.size(x) <= LONG + 2, self._folded(x, t)).otherwise(self._folded_long(x, t)))
+        return _let(start, lambda x: F.when(F.size(x) <= LONG + 2, self._folded(x, t)).otherwise(self._folded_long(x, t))).cast("array<int>")
 
-    def text(self, word: Column, t: Column) -> Column:
-        """Ids of one word, joined by spaces: looked up if known, else folded."""
+    def ids(self, word: Column, t: Column) -> Column:
+        """Ids of one word: looked up if known, else folded."""
         slot = F.pmod(F.xxhash64(word), F.size(t["known"])).cast("int")
-        return F.coalesce(F.try_element_at(F.get(t["known"], slot), word), F.array_join(self.encoded(word, t).cast("array<string>"), " "))
+        return F.coalesce(F.try_element_at(F.get(t["known"], slot), word), self.encoded(word, t))
 
     def decoded(self, ids: Column, t: Column) -> Column:
         """Bytes of an array of ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["pieces"], i.cast("int"))), ""))
+        return _let(t["pieces"], lambda pieces: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), "")))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -190,7 +191,7 @@ def over(df: DataFrame, constants: DataFrame, uses: str, name: str, body: Callab
     """
     rest = [c for c in df.columns if c != uses]
     given = df.select(*rest, F.col(uses).alias("_v"), constants.select(F.struct("*")).scalar().alias("_t"))
-    both = _let(F.struct("_v", "_t"), lambda x: F.struct(x["_v"].alias("v"), body(x["_v"], x["_t"]).alias("o")))
+    both = _let(F.struct("_v", "_t"), lambda x: _let(x["_t"], lambda t: F.struct(x["_v"].alias("v"), body(x["_v"], t).alias("o"))))
     return given.select(*rest, both.alias("_o")).select(*rest, F.col("_o.v").alias(uses), F.col("_o.o").alias(name))
 
 
@@ -199,18 +200,19 @@ def words(text: Column) -> Column:
 
 
 def frequent(df: DataFrame, bpe: Bpe, scratch: Scratch, text_col: str = "text", most: int = FREQUENT, sample: int = SAMPLE) -> pa.Table:
-    """word, ids (joined by spaces) of at most ``most`` words that occur twice at least.
+    """word, ids of at most ``most`` words.
 
     They are the most frequent ones of about ``sample`` rows, drawn by a hash of the
-    text.  Only the time that encoding takes depends on which words are drawn.
+    text; one that occurs there once is likely to occur among the other rows, too.
+    Only the time that encoding takes depends on which words are drawn.
     """
     text = text_of(text_col)
     rows = max(1, df.count())
     drawn = df.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < min(1 << 20, (sample << 20) // rows))
     seen = drawn.select(F.explode(words(text)).alias("word")).groupBy("word").count()
-    top = seen.where((F.octet_length("word") <= LONG) & (F.col("count") > 1)).orderBy(F.desc("count"), "word").limit(most).select("word")
+    top = seen.where(F.octet_length("word") <= LONG).orderBy(F.desc("count"), "word").limit(most).select("word")
     top = scratch.save(top, "frequent").repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
-    return over(top, bpe.constants(scratch, "bare"), "word", "ids", bpe.text).toArrow()  # at most ``most`` short rows
+    return over(top, bpe.constants(scratch, "bare"), "word", "ids", bpe.ids).toArrow()  # at most ``most`` short rows
 
 
 class Codec:
@@ -225,9 +227,7 @@ class Codec:
     def encode(self, id_col: str = "doc_id") -> DataFrame:
         """id_col and ids, an array of ids per row of the corpus."""
         split = self.df.select(F.col(id_col), words(text_of(self.text_col)).alias("words"))
-        joined = over(split, self.constants, "words", "ids", lambda v, t: F.array_join(F.transform(v, lambda w: self.bpe.text(w, t)), " "))
-        ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", " ").cast("array<int>"))
-        return joined.select(id_col, ids.alias("ids"))
+        return over(split, self.constants, "words", "ids", lambda v, t: F.flatten(F.transform(v, lambda w: self.bpe.ids(w, t)))).select(id_col, "ids")
 
     def decode(self, rows: DataFrame, ids_col: str = "ids") -> DataFrame:
         """``rows`` with column decoded, the bytes of their ids."""

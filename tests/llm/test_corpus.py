@@ -217,6 +217,17 @@ def test_byte_bpe(spark):
         assert got == {i: (plain.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)}
 
 
+def test_frequent_words(spark):
+    """Words that occur once among the drawn rows are folded once, too, the most frequent first where not all are."""
+    made = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={w: i for i, w in enumerate(made.vocabulary)}, special_tokens={})
+    df = docs(spark, ["blorfin tanquey tanquey", None, "zembeluk 4711 " + "y" * 60])
+    want = {w: plain.encode_ordinary(w) for w in ("blorfin", " tanquey", "zembeluk", " 4711")}
+    got = bpe.frequent(df, made, Scratch(spark, "t")).to_pylist()
+    assert {r["word"]: r["ids"] for r in got if r["word"] != " "} == want
+    assert [r["word"] for r in bpe.frequent(df, made, Scratch(spark, "t"), most=1).to_pylist()] == [" tanquey"]
+
+
 def test_byte_bpe_query(spark, tmp_path):
     """The registered query against tiktoken, with repeated and null ids, and over an empty table."""
     made = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
