@@ -228,6 +228,31 @@ def test_frequent_words(spark):
     assert [r["word"] for r in bpe.frequent(df, made, Scratch(spark, "t"), most=1).to_pylist()] == [" tanquey"]
 
 
+def test_byte_bpe_work(spark, monkeypatch):
+    """A merge copies one array five times, and a plan that encodes and decodes holds the known words once."""
+    made = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks={w: i for i, w in enumerate(made.vocabulary)}, special_tokens={})
+    copies = []
+    for name in ("array_remove", "array_insert"):
+        monkeypatch.setattr(F, name, lambda *a, f=getattr(F, name): copies.append(f) or f(*a))
+    word = spark.range(1).select(F.lit("blorfin").alias("word"))
+    bpe.over(word, made.constants(Scratch(spark, "t"), "bare"), "word", "ids", made.encoded)
+    assert 0 < len(copies) <= 5
+    rng = random.Random(4)
+    edges = ["".join(rng.choices(kind, k=n)) for n in range(bpe.LONG - 2, bpe.LONG + 4) for kind in ("abcdefgh", "a", "etaoin", "\x00\x01!", "é") for _ in range(4)]
+    for most in (20, 0):
+        codec = bpe.Codec(docs(spark, edges), made, most=most)
+        both = codec.decode(codec.encode())
+        known = [x for x in (codec.constants, codec.pieces) if "known" in x.columns]
+        assert len(known) == 1 and "pieces" not in known[0].columns
+        row = known[0].first()
+        found = {w: ids for part in row["known"] for w, ids in part.items()}
+        assert len(found) <= most and found == {w: plain.encode_ordinary(w) for w in found}
+        got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in both.collect()}
+        assert got == {i: (plain.encode_ordinary(t), t.encode()) for i, t in enumerate(edges)}
+    assert bpe.LONG + 2 <= 1 << bpe.SHORT and made.edge < 1 << (bpe.LOW - bpe.SHORT)
+
+
 def test_byte_bpe_query(spark, tmp_path):
     """The registered query against tiktoken, with repeated and null ids, and over an empty table."""
     made = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"))
