@@ -31,13 +31,18 @@ def normalised(column: str) -> Column:
     return F.regexp_replace(text_of(column), r"[\x20\x09-\x0D]+", " ")
 
 
-def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFrame, DataFrame]:
-    """From saved (rid, id, text): (rid, id, sha) of all rows, and (rid, n, lead) of those in groups."""
-    size = F.octet_length("body").alias("size")
+def _bodies(rows: DataFrame, *columns: Column) -> DataFrame:
+    """From (rid, id, text): rid, id, the normalised text's size, and ``columns`` of it (body)."""
     body = F.encode(normalised("text"), "UTF-8").alias("body")
-    lite = rows.select("rid", "id", body).select("rid", "id", F.sha2("body", 256).alias("sha"), size, F.substring("body", 1, first_digit).alias("body"))
-    lite = scratch.save(lite, "lite")
+    return rows.select("rid", "id", body).select("rid", "id", F.octet_length("body").alias("size"), *columns)
 
+
+def _head(first_digit: int) -> Column:
+    return F.substring("body", 1, first_digit).alias("body")
+
+
+def _groups(rows: DataFrame, lite: DataFrame, scratch: Scratch, first_digit: int) -> DataFrame:
+    """From (rid, id, text), numbered alike at each reading, and their kept heads: (rid, n, lead) of those in groups."""
     offset, width, level = 0, first_digit, 0
     source = lite.withColumn("gid", F.lit(0).cast("long"))
     finished: list[DataFrame] = []
@@ -56,22 +61,24 @@ def _groups(rows: DataFrame, scratch: Scratch, first_digit: int) -> tuple[DataFr
             break
         if level == 0:  # later levels read the texts of these rows only
             survivors = rows.join(sized(left.select("rid"), alive), "rid", "left_semi")
-            survivors = scratch.save(survivors.select("rid", "id", body).select("rid", "id", "body", size), "survivors")
+            survivors = scratch.save(_bodies(survivors, F.col("body")), "survivors")
         source = survivors.join(sized(left, alive), "rid")
         offset, width, level = offset + width, min(3 * (offset + width), LONGEST_DIGIT), level + 1
 
     groups = finished[0]
     for part in finished[1:]:
         groups = groups.union(part)
-    return lite.select("rid", "id", "sha"), groups
+    return groups
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_digit: int = FIRST_DIGIT) -> DataFrame:
     """One row per row of ``df``: id_col, keep_id, group_size, kept, text_sha256."""
     scratch = Scratch(df.sparkSession, "radix")
     rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    all_rows, groups = _groups(scratch.save(rows, "rows"), scratch, first_digit)
-    return all_rows.join(merged(groups), "rid", "left").select(
+    rows = scratch.save(rows, "rows")
+    lite = scratch.save(_bodies(rows, F.sha2("body", 256).alias("sha"), _head(first_digit)), "lite")
+    groups = _groups(rows, lite, scratch, first_digit)
+    return lite.select("rid", "id", "sha").join(merged(groups), "rid", "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("lead").isNull(), F.col("id")).otherwise(F.col("lead.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
@@ -80,9 +87,13 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the later rows of each group of equal texts; all columns stay."""
+def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stored: bool = False) -> DataFrame:
+    """``df`` without the later rows of each group of equal texts; all columns stay.
+
+    ``stored``: ``df`` is read straight from files, so no copy of it is needed.
+    """
     scratch = Scratch(df.sparkSession, "radix")
-    rows = numbered(df, scratch)
-    _, groups = _groups(rows.select("rid", F.col(f"row.{id_col}").alias("id"), text_of(f"row.{text_col}").alias("text")), scratch, FIRST_DIGIT)
+    rows = numbered(df, scratch, stored)
+    texts = rows.select("rid", F.col(f"row.{id_col}").alias("id"), text_of(f"row.{text_col}").alias("text"))
+    groups = _groups(texts, scratch.hold(_bodies(texts, _head(FIRST_DIGIT))), scratch, FIRST_DIGIT)
     return without(rows, scratch.save(groups.where("lead.rid <> rid").select("rid"), "gone"))

@@ -138,14 +138,19 @@ def pack(
     shard: int = SHARD,
     derived: dict[str, Column] | None = None,
     special: bool = True,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per piece: id_col, piece, start, length, ids, sequence_id, offset.
 
     With ``derived``, columns computed from a piece's ids take the place of the ids,
-    so that the ids themselves needn't be shuffled.
+    so that the ids themselves needn't be shuffled.  ``stored``: ``df`` is read straight
+    from files, and the pieces are held, without their ids if there are derived columns.
     """
     scratch = Scratch(df.sparkSession, "packing")
-    cut = scratch.save(pieces(df, tokenizer, id_col, text_col, capacity, end, special), "pieces")
+    cut = pieces(df, tokenizer, id_col, text_col, capacity, end, special)
+    if stored and derived:
+        cut, derived = cut.withColumns(derived).drop("ids"), None
+    cut = scratch.hold(cut) if stored else scratch.save(cut, "pieces")
     where = scratch.save(placed(cut, capacity, shard), "placed")
     if derived:
         cut = cut.withColumns(derived).drop("ids")

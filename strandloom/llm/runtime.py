@@ -14,6 +14,7 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _ROOTS: list[str] = []
+_HELD: list[DataFrame] = []
 
 
 def removed(spark: SparkSession, path: str) -> None:
@@ -58,10 +60,13 @@ def removed(spark: SparkSession, path: str) -> None:
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Removes the tables of all operators called within, at its end: their results must be written before."""
-    before = len(_ROOTS)
+    before, held = len(_ROOTS), len(_HELD)
     try:
         yield
     finally:
+        for df in _HELD[held:]:
+            df.unpersist()
+        del _HELD[held:]
         for root in _ROOTS[before:]:
             removed(spark, root)
         del _ROOTS[before:]
@@ -95,6 +100,16 @@ class Scratch:
         written(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def hold(self, df: DataFrame) -> DataFrame:
+        """``df``, kept on the executors' disks from its first use until the ``scope`` ends.
+
+        No file is made by way of Hadoop, so no process starts (see PLAIN_FILES).  A lost
+        part is made again: ``df`` must give the same rows in the same order each time,
+        and its plan is part of every plan above, so it should be short.
+        """
+        _HELD.append(df.persist(StorageLevel.DISK_ONLY))
+        return _HELD[-1]
+
     def drop(self, *names: str) -> None:
         for name in names:
             removed(self.spark, f"{self.root}/{name}")
@@ -176,10 +191,15 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def numbered(df: DataFrame, scratch: Scratch) -> DataFrame:
-    """``df`` saved as rid, a number of its own for each row, and row, a struct of its columns."""
+def numbered(df: DataFrame, scratch: Scratch, stored: bool = False) -> DataFrame:
+    """``df`` as rid, a number of its own for each row, and row, a struct of its columns.
+
+    It is saved, since another order of rows would give other numbers, unless ``df`` is
+    ``stored``: read straight from files, so that each reading numbers it alike.
+    """
     columns = [df[f"`{c}`"] for c in df.columns]
-    return scratch.save(df.select(F.monotonically_increasing_id().alias("rid"), F.struct(*columns).alias("row")), "numbered")
+    rows = df.select(F.monotonically_increasing_id().alias("rid"), F.struct(*columns).alias("row"))
+    return rows if stored else scratch.save(rows, "numbered")
 
 
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:

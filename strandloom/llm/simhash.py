@@ -95,11 +95,15 @@ def links(distinct: DataFrame, scratch: Scratch, crowded: int = CROWDED) -> Data
     return plain.union(verified(finer(probes), finer(stored), ["key", "part", "sub"])).distinct()
 
 
-def _labelled(rows: DataFrame, scratch: Scratch, crowded: int) -> tuple[DataFrame, DataFrame]:
-    """From (rid, id, text): saved (rid, id, fp), and for each fp its component's first row and its links."""
+def _marked(rows: DataFrame) -> DataFrame:
+    """From (rid, id, text): (rid, id, fp)."""
     workers(rows.sparkSession)
     kind = rows.schema["id"].dataType.simpleString()
-    marked = scratch.save(rows.mapInArrow(_fingerprints, f"rid long, id {kind}, fp long"), "marked")
+    return rows.mapInArrow(_fingerprints, f"rid long, id {kind}, fp long")
+
+
+def _labelled(marked: DataFrame, scratch: Scratch, crowded: int) -> DataFrame:
+    """From kept (rid, id, fp): for each fp its component's first row and its links, saved."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("lead")
     distinct = scratch.save(marked.groupBy("fp").agg(first), "distinct")
     edges = scratch.save(links(distinct, scratch, crowded), "edges")
@@ -108,7 +112,7 @@ def _labelled(rows: DataFrame, scratch: Scratch, crowded: int) -> tuple[DataFram
     owner = scratch.save(member.join(merged(distinct), "fp").groupBy("component").agg(F.min("lead").alias("owner")), "owner")
     found = scratch.save(member.join(merged(owner), "component").join(merged(degree), "fp", "left").select("fp", "owner", "links"), "found")
     label = distinct.join(merged(found), "fp", "left").select("fp", F.coalesce("owner", "lead").alias("lead"), F.coalesce("links", F.lit(0)).alias("links"))
-    return marked, scratch.save(label, "label")
+    return scratch.save(label, "label")
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
@@ -117,15 +121,21 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     ``links`` counts the other distinct fingerprints that the row's own links to.
     """
     rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    marked, label = _labelled(rows, Scratch(df.sparkSession, "simhash"), crowded)
+    scratch = Scratch(df.sparkSession, "simhash")
+    marked = scratch.save(_marked(rows), "marked")
+    label = _labelled(marked, scratch, crowded)
     return marked.join(merged(label), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("lead.id").alias("component_id"), "links"
     )
 
 
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
-    """``df`` with the first row of each component (smallest id); all columns stay."""
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED, stored: bool = False) -> DataFrame:
+    """``df`` with the first row of each component (smallest id); all columns stay.
+
+    ``stored``: ``df`` is read straight from files, so no copy of it is needed.
+    """
     scratch = Scratch(df.sparkSession, "simhash")
-    rows = numbered(df, scratch)
-    marked, label = _labelled(rows.select("rid", F.col(f"row.{id_col}").alias("id"), text_of(f"row.{text_col}").alias("text")), scratch, crowded)
+    rows = numbered(df, scratch, stored)
+    marked = scratch.hold(_marked(rows.select("rid", F.col(f"row.{id_col}").alias("id"), text_of(f"row.{text_col}").alias("text"))))
+    label = _labelled(marked, scratch, crowded)
     return without(rows, scratch.save(marked.join(merged(label), "fp").where("lead.rid <> rid").select("rid"), "gone"))

@@ -544,3 +544,35 @@ def test_processes_of_a_saved_table(spark, tmp_path):
     assert len([c for c in started if "/part-" in c]) == len(saved.inputFiles()) == 4
     assert not [c for c in started if ".crc" in c]
     assert saved.count() == 40
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_copies, simhash.drop_near_copies])
+def test_processes_of_stored_documents(spark, tmp_path, drop):
+    """Documents read from files aren't copied, and what is kept of each row starts no process."""
+    from strandloom.llm import runtime
+
+    texts = [f"{'the same start of all texts here, ' * 3} text {i // 2} of {i // 2} {'more words ' * (i // 2 % 7)}" for i in range(200)] + [None, ""]
+    docs(spark, texts).repartition(6).write.parquet(f"{tmp_path}/docs")
+    stored = spark.read.parquet(f"{tmp_path}/docs")
+
+    def persisted():
+        return set(spark.sparkContext._jsc.getPersistentRDDs())
+
+    want = sorted(r.doc_id for r in drop(stored).collect())
+    before = persisted()
+    recording = spark._jvm.jdk.jfr.Recording()
+    recording.enable("jdk.ProcessStart")
+    recording.start()
+    with runtime.scope(spark):
+        made = drop(stored, stored=True)
+        recording.stop()
+        got = made.collect()
+        assert persisted() > before
+    assert persisted() == before
+    dump = spark._jvm.java.nio.file.Path.of(f"{tmp_path}/starts.jfr", spark._sc._gateway.new_array(spark._jvm.String, 0))
+    recording.dump(dump)
+    recording.close()
+    started = [e.getString("command") for e in spark._jvm.jdk.jfr.consumer.RecordingFile.readAllEvents(dump)]
+    assert started and not [c for c in started for table in ("numbered", "lite", "marked") if f"/{table}" in c]
+    assert sorted(r.doc_id for r in got) == want and made.columns == stored.columns
+    assert len({r.doc_id for r in got}) == len(got) < len(texts)
